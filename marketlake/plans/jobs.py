@@ -21,6 +21,7 @@ from marketlake.operators.gold import daily_dimension, hourly_fact
 from marketlake.operators.maintenance import (
     file_inventory,
     is_vacuum_day,
+    normalize_path,
     orphan_files,
     referenced_files,
 )
@@ -160,28 +161,42 @@ def run_vacuum(
     paths: LayerPaths,
     now: _dt.datetime | None = None,
     retention_days: int = RETENTION_DAYS,
-) -> tuple[list[MaintenanceResult], DataFrame | None]:
-    """Weekly vacuum: orphan-file candidates under each table, i.e. files the
-    table's reader does not reference (crash leftovers, foreign layouts) older
-    than the retention window. Returns the per-table status and the candidate
-    list as a DataFrame; deleting is a separate, explicit step."""
+) -> tuple[list[MaintenanceResult], DataFrame]:
+    """Weekly vacuum: orphan-file candidates in the warehouse.
+
+    The inventory is every visible file under the warehouse root; a file is
+    referenced when one of the tables (Bronze, Silver, fact, dimension) reads
+    it. Unreferenced files older than the retention window are candidates (a
+    dropped table's folder, a stray export, files of a foreign layout). If a
+    table's references cannot be read, its folder is left out of the inventory
+    so that nothing of it is reported. Returns per-table status and the
+    candidate list; deleting is a separate, explicit step."""
+    from marketlake.schema import BRONZE_SCHEMA
+
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     cutoff = now - _dt.timedelta(days=retention_days)
-    results, candidates = [], None
-    for name, path, schema in paths.tables():
+    tables = [(BRONZE_TABLE, paths.bronze, BRONZE_SCHEMA, "json")] + [
+        (n, p, s, "parquet") for n, p, s in paths.tables()]
+    results, refs, excluded = [], None, []
+    for name, path, schema, fmt in tables:
         try:
             if not path_exists(spark, path):
                 results.append(MaintenanceResult(name, "skipped", "table does not exist"))
                 continue
-            table = spark.read.schema(schema).parquet(path)
-            orphans = orphan_files(file_inventory(spark, path), referenced_files(table), cutoff)
-            orphans = orphans.withColumn("table_name", F.lit(name))
-            candidates = orphans if candidates is None else candidates.unionByName(orphans)
-            results.append(MaintenanceResult(name, "ok", "orphan scan planned"))
-        except Exception as exc:
+            table = spark.read.schema(schema).format(fmt).load(path)
+            r = referenced_files(table)
+            refs = r if refs is None else refs.unionByName(r)
+            results.append(MaintenanceResult(name, "ok", "references collected"))
+        except Exception as exc:  # keep going; never report this table's files
             log.warning("vacuum of %s failed: %s", name, exc)
             results.append(MaintenanceResult(name, "failed", str(exc)[:500]))
-    return results, candidates
+            excluded.append(path)
+    inventory = file_inventory(spark, paths.root)
+    for path in excluded:
+        inventory = inventory.filter(~F.col("file_path").startswith(normalize_path(F.lit(path))))
+    if refs is None:
+        refs = spark.createDataFrame([], "file_path string")
+    return results, orphan_files(inventory, refs, cutoff)
 
 
 def run_day(
@@ -202,8 +217,9 @@ def run_day(
         report["compaction"] = run_compaction(spark, paths)
     days = [dates] if isinstance(dates, str) else list(dates or [])
     if any(is_vacuum_day(d) for d in days):
-        results, _ = run_vacuum(spark, paths, now)
+        results, candidates = run_vacuum(spark, paths, now)
         report["vacuum"] = results
+        report["orphan_candidates"] = candidates
     return report
 
 
