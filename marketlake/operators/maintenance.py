@@ -96,23 +96,28 @@ def referenced_files(table: DataFrame) -> DataFrame:
     return table.select(normalize_path(F.col("_metadata.file_path")).alias("file_path")).distinct()
 
 
-def file_stats(table: DataFrame, partition_cols: list[str]) -> DataFrame:
-    """Fragmentation per partition: files, bytes and rows.
+def file_stats(table: DataFrame, partition_cols: list[str], small_file_bytes: int | None = None) -> DataFrame:
+    """Fragmentation per partition: files, bytes, rows, smallest / largest file
+    and (with ``small_file_bytes``) the number of small files.
 
     Two aggregates: first per file (rows; size is a per-file constant), then per
-    partition, so each stage is a map-side-combined hash aggregate."""
+    partition, so each stage is a map-side-combined hash aggregate. Only the
+    hidden ``_metadata`` column is read, not the data columns."""
     per_file = table.groupBy(
         *partition_cols,
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
     ).agg(F.count(F.lit(1)).alias("rows"))
-    return per_file.groupBy(*partition_cols).agg(
+    aggs = [
         F.count(F.lit(1)).alias("files"),
         F.sum("file_size").alias("bytes"),
         F.sum("rows").alias("rows"),
         F.min("file_size").alias("min_file_bytes"),
         F.max("file_size").alias("max_file_bytes"),
-    )
+    ]
+    if small_file_bytes is not None:
+        aggs.append(F.count_if(F.col("file_size") < F.lit(int(small_file_bytes))).alias("small_files"))
+    return per_file.groupBy(*partition_cols).agg(*aggs)
 
 
 def vacuum_days(df: DataFrame, day_col: str = "dt") -> DataFrame:

@@ -269,6 +269,19 @@ def test_compaction_preserves_rows_and_reduces_files(spark, tmp_root):
     assert sorted(map(tuple, spark.read.parquet(tmp_root).collect())) == content
 
 
+def test_compaction_leaves_compact_partitions_alone(spark, tmp_root):
+    frag = [snap(i=f"a{k}", ts=dt.datetime(2024, 1, 14, 1, k)) for k in range(40)]
+    one = [snap(i=f"b{k}", ts=dt.datetime(2024, 1, 15, 1, k)) for k in range(40)]
+    frame(spark, frag).repartition(8).write.partitionBy("dt").parquet(tmp_root)
+    frame(spark, one).coalesce(1).write.mode("append").partitionBy("dt").parquet(tmp_root)
+    day15 = sorted(f for f in _files(tmp_root) if "dt=2024-01-15" in f)
+    summary = compact(spark, tmp_root, spark.read.parquet(tmp_root).schema)
+    assert summary == {"partitions": 2, "files": 9, "small_files": 9, "partitions_rewritten": 1}
+    assert sorted(f for f in _files(tmp_root) if "dt=2024-01-15" in f) == day15  # untouched
+    assert len([f for f in _files(tmp_root) if "dt=2024-01-14" in f]) == 1
+    assert spark.read.parquet(tmp_root).count() == 80
+
+
 def test_file_stats_on_known_layout(spark, tmp_root):
     rows = [snap(i=f"a{k}", ts=dt.datetime(2024, 1, 14 + k % 2, 1)) for k in range(30)]
     frame(spark, rows).repartition(3).write.partitionBy("dt").parquet(tmp_root)
