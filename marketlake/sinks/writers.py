@@ -97,6 +97,7 @@ def compact(
     max_records_per_file: int | None = None,
     target_file_bytes: int = 128 * 1024 * 1024,
     min_small_files: int = 2,
+    broadcast_max_partitions: int = 100_000,
 ) -> dict:
     """Rewrite the fragmented partitions of a Parquet table into fewer files.
 
@@ -104,8 +105,11 @@ def compact(
     smaller than 3/4 of ``target_file_bytes``; the others are not touched, so a
     daily run rewrites only what changed instead of the whole table. The choice
     comes from file metadata (``_metadata.file_size``), one row per partition.
-    The selected partitions are read (the semi-join on the partition column lets
-    dynamic partition pruning skip the others), rebalanced so AQE cuts tasks of
+    The selected partitions are counted first (a metadata-only job); nothing to
+    do ends there. Up to ``broadcast_max_partitions`` the list is broadcast for
+    the semi-join, so dynamic partition pruning reads only the chosen
+    partitions and the table is never shuffled for the join; beyond that bound
+    the planner chooses. The rows are rebalanced so AQE cuts tasks of
     about ``target_file_bytes`` (skewed partitions split, small ones merged),
     and written back with dynamic partition overwrite. Spark stages the new
     files and swaps partitions only at job commit, after every task finished,
@@ -130,7 +134,11 @@ def compact(
     )
     todo = stats.filter(F.col("small_files") >= min_small_files).select(*parts).observe(
         chosen, F.count(F.lit(1)).alias("partitions_rewritten"))
-    rewrite = table.join(todo, on=parts, how="left_semi").select(*table.columns)
+    n_todo = todo.count()
+    if n_todo == 0:
+        return {"partitions_rewritten": 0}
+    chosen_parts = F.broadcast(todo) if n_todo <= broadcast_max_partitions else todo
+    rewrite = table.join(chosen_parts, on=parts, how="left_semi").select(*table.columns)
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     previous = spark.conf.get(key, None)
     spark.conf.set(key, str(int(target_file_bytes)))
