@@ -32,22 +32,37 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _jvm_context(spark: SparkSession):
+    """The JVM SparkContext handle, or None (e.g. a Spark Connect session)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and points at shared storage.
-    Only when it is unset (local runs, tests) a fresh local folder is created
-    and registered, so that lineage cuts and scratch output still work.
+    On a cluster this is set by the deployment and points at shared storage;
+    a cluster session without it is an error, never a machine-local folder.
+    Only a ``local`` master with the setting unset (local runs, tests) gets a
+    fresh local folder, registered so that lineage cuts and scratch output
+    still work.
     """
+    sc = _jvm_context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not root and sc is not None:
+        jdir = sc._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is unset: a cluster job needs a shared folder for "
+                "lineage cuts and scratch tables (set it to shared storage)")
         root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if not jdir.isDefined():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -57,8 +72,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system (metadata only)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    """Existence check through the Hadoop file system (metadata only); without
+    a JVM handle, through a zero-row listing read."""
+    sc = _jvm_context(spark)
+    if sc is not None:
+        jvm = sc._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        return fs.exists(hpath)
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("binaryFile").load(path).select("path").limit(0).collect()
+        return True
+    except AnalysisException:
+        return False

@@ -347,3 +347,35 @@ def test_cli_requires_execution_date():
 
     with pytest.raises(SystemExit):
         main(["silver", "--warehouse", "/nonexistent"])
+
+
+def test_several_days_are_pruned_together(spark, tmp_root):
+    rows = [snap(ts=dt.datetime(2024, 1, d, 3)) for d in (13, 14, 15)]
+    append_bronze(prepare_bronze(frame(spark, rows, with_partitions=False)), tmp_root)
+    got = read_bronze(spark, tmp_root, ["2024-01-13", "2024-01-15"])
+    assert sorted(str(r.dt) for r in got.collect()) == ["2024-01-13", "2024-01-15"]
+    from tests.conftest import plan_text
+    import re
+    assert re.search(r"PartitionFilters: \[[^\n]*dt#\d+ IN \(", plan_text(got)), plan_text(got)
+
+
+def test_stream_equals_batch_bronze(spark, tmp_root):
+    rows = [snap(i=f"a{k}", ts=dt.datetime(2024, 1, 14, k % 24, k % 60), price=float(k)) for k in range(50)]
+    df = frame(spark, rows, with_partitions=False)
+    landing = f"{tmp_root}/landing"
+    df.repartition(3).write.parquet(landing)
+    src = spark.readStream.schema(TICK_SCHEMA).option("maxFilesPerTrigger", 1).parquet(landing)
+    q = start_bronze_stream(src, f"{tmp_root}/stream", f"{tmp_root}/_ckpt", available_now=True)
+    assert q.awaitTermination(300)
+    append_bronze(prepare_bronze(df), f"{tmp_root}/batch")
+    a = read_bronze(spark, f"{tmp_root}/stream")
+    b = read_bronze(spark, f"{tmp_root}/batch")
+    assert a.select("batch_id").distinct().count() == 3  # one micro-batch per landed file
+    assert sorted(map(tuple, a.drop("batch_id").collect())) == sorted(map(tuple, b.drop("batch_id").collect()))
+
+
+def test_rate_trigger_source_is_a_stream(spark):
+    from marketlake.sources.stream import rate_trigger_stream
+
+    df = rate_trigger_stream(spark)
+    assert df.isStreaming and {"timestamp", "value"} <= set(df.columns)
