@@ -17,11 +17,14 @@ from marketlake.schema import SPREAD_TOP, TOP_N_DEFAULT
 def current_snapshot(dim: DataFrame, as_of: str | None = None) -> DataFrame:
     """The dimension rows of one day: ``as_of`` or, by default, the latest day
     present. The latest day is a one-row global aggregate, so broadcasting it
-    for the semi-join has a proven size of one row."""
+    for the semi-join has a proven size of one row. Both sides start from the
+    same ``dt is not null`` frame (the join drops null days and ``max`` ignores
+    them anyway), so they plan the same subtree and its shuffle is reused."""
     if as_of is not None:
         return dim.filter(F.col("dt") == F.to_date(F.lit(as_of)))
-    latest = dim.agg(F.max("dt").alias("dt"))
-    return dim.join(F.broadcast(latest), on="dt", how="left_semi")
+    days = dim.filter(F.col("dt").isNotNull())
+    latest = days.agg(F.max("dt").alias("dt"))
+    return days.join(F.broadcast(latest), on="dt", how="left_semi")
 
 
 def top_n(dim: DataFrame, n: int = TOP_N_DEFAULT) -> DataFrame:

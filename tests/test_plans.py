@@ -73,3 +73,13 @@ def test_orphan_anti_join_dedups_references_first(spark):
     assert "LessThan(o_orderdate," in text
     # referenced keys are aggregated (de-duplicated) before they reach the join
     assert re.search(r"HashAggregate \(\d+\)\n\s+\+- Exchange", text)
+
+
+def test_current_day_derives_the_dimension_once(spark):
+    # The max-day side and the row side share one shuffle (AQE reuses it), so
+    # the events scan and both dedup shuffles run once.
+    df = entry_mod.queries()["serve_kpis"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert final.count("FileScan parquet") == 1
