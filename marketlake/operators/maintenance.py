@@ -91,6 +91,33 @@ def file_inventory(spark: SparkSession, prefix: str) -> DataFrame:
     )
 
 
+# Hidden folders a failed or crashed write leaves behind, which the normal file
+# listing skips: dynamic-overwrite staging and the output committer's temporary
+# tree (job attempt and task attempt levels). Searched at the warehouse root and
+# one level down (the table folders).
+LEFTOVER_PATTERNS = (".spark-staging-*", "_temporary/*", "_temporary/*/_temporary/*")
+TABLE_LEVELS = ("", "*/")
+
+
+def leftover_inventory(spark: SparkSession, root: str) -> DataFrame | None:
+    """Files below the hidden write leftovers of ``root`` (same columns as
+    ``file_inventory``), or ``None`` when there are none. No table ever reads
+    them, so once older than the retention cutoff they are orphans; a running
+    write is younger than the cutoff and is never reported."""
+    from pyspark.errors import AnalysisException
+
+    root = root.rstrip("/")
+    found = None
+    for level in TABLE_LEVELS:
+        for pattern in LEFTOVER_PATTERNS:
+            try:
+                part = file_inventory(spark, f"{root}/{level}{pattern}")
+            except AnalysisException:  # the pattern matches nothing
+                continue
+            found = part if found is None else found.unionByName(part)
+    return None if found is None else found.dropDuplicates(["file_path"])
+
+
 def referenced_files(table: DataFrame) -> DataFrame:
     """Files a table read actually uses, from the hidden ``_metadata`` column."""
     return table.select(normalize_path(F.col("_metadata.file_path")).alias("file_path")).distinct()

@@ -21,6 +21,7 @@ from marketlake.operators.gold import daily_dimension, hourly_fact
 from marketlake.operators.maintenance import (
     file_inventory,
     is_vacuum_day,
+    leftover_inventory,
     normalize_path,
     orphan_files,
     referenced_files,
@@ -167,7 +168,8 @@ def run_vacuum(
     The inventory is every visible file under the warehouse root; a file is
     referenced when one of the tables (Bronze, Silver, fact, dimension) reads
     it. Unreferenced files older than the retention window are candidates (a
-    dropped table's folder, a stray export, files of a foreign layout). If a
+    dropped table's folder, a stray export, files of a foreign layout, and the
+    staging or temporary files of a write that crashed before its commit). If a
     table's references cannot be read, its folder is left out of the inventory
     so that nothing of it is reported. Returns per-table status and the
     candidate list; deleting is a separate, explicit step."""
@@ -192,6 +194,9 @@ def run_vacuum(
             results.append(MaintenanceResult(name, "failed", str(exc)[:500]))
             excluded.append(path)
     inventory = file_inventory(spark, paths.root)
+    leftovers = leftover_inventory(spark, paths.root)
+    if leftovers is not None:
+        inventory = inventory.unionByName(leftovers)
     for path in excluded:
         inventory = inventory.filter(~F.col("file_path").startswith(normalize_path(F.lit(path))))
     if refs is None:

@@ -24,7 +24,7 @@ from marketlake.operators.gold import daily_dimension, hourly_fact
 from marketlake.operators.latest import latest_per_key
 from marketlake.operators.silver import silver_from_bronze
 from marketlake.plans.jobs import LayerPaths, run_day, run_gold, run_silver, run_vacuum
-from marketlake.schema import BRONZE_SCHEMA, PAYLOAD_SCHEMA, SILVER_SCHEMA
+from marketlake.schema import BRONZE_SCHEMA, FACT_TABLE, PAYLOAD_SCHEMA, SILVER_SCHEMA, SILVER_TABLE
 from marketlake.sinks.writers import append_bronze, compact, publish
 from marketlake.sources.bronze import explode_pages, read_bronze
 from marketlake.sources.tables import read_table
@@ -379,3 +379,26 @@ def test_rate_trigger_source_is_a_stream(spark):
 
     df = rate_trigger_stream(spark)
     assert df.isStreaming and {"timestamp", "value"} <= set(df.columns)
+
+
+def test_vacuum_reports_leftovers_of_crashed_writes(spark, tmp_root):
+    paths = LayerPaths(tmp_root)
+    _land(spark, paths, [snap(ts=dt.datetime(2024, 1, 14, 10))])
+    run_silver(spark, paths, None)
+    run_gold(spark, paths, None)
+    root = paths.root.replace("file:", "")
+    old = (dt.datetime.now() - dt.timedelta(days=30)).timestamp()
+    leftovers = [
+        f"{root}/{SILVER_TABLE}/.spark-staging-abc/dt=2024-01-01/part-0.parquet",
+        f"{root}/{SILVER_TABLE}/_temporary/0/_temporary/attempt_1/dt=2024-01-01/part-1.parquet",
+        f"{root}/{FACT_TABLE}/_temporary/0/task_2/dt=2024-01-01/part-2.parquet",
+    ]
+    young = f"{root}/{FACT_TABLE}/.spark-staging-run/dt=2024-01-02/part-3.parquet"
+    for f in leftovers + [young]:
+        os.makedirs(os.path.dirname(f))
+        open(f, "wb").write(b"x")
+        if f != young:
+            os.utime(f, (old, old))
+    results, cands = run_vacuum(spark, paths)
+    assert sorted(r.file_path for r in cands.collect()) == sorted(leftovers)
+    assert {r.status for r in results} == {"ok"}
