@@ -10,15 +10,21 @@ own files rather than adding duplicates.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.functions.columns import fill_nulls, ingestion_metadata
 from marketlake.schema import PAYLOAD_FIELDS, TRIGGER_INTERVAL
+from marketlake.session import path_exists
 from marketlake.sinks.writers import append_bronze
 
+# Records which checkpoint feeds a Bronze path; the leading underscore hides it
+# from table scans and from the file inventory.
+OWNER_MARKER = "_stream_checkpoint"
+
 
 def prepare_bronze(df: DataFrame, null_policy: str = "zero") -> DataFrame:
     """Payload projection + null policy + ingestion metadata (dt, hour derived
@@ -36,6 +42,28 @@ def bronze_batch_writer(bronze_path: str, null_policy: str = "zero") -> Callable
     return process
 
 
+def _norm(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+def claim_bronze_path(spark: SparkSession, bronze_path: str, checkpoint: str) -> None:
+    """Bind ``bronze_path`` to ``checkpoint``; refuse any other checkpoint.
+
+    Batch ids restart at 0 under a new checkpoint, and a new checkpoint re-reads
+    the whole landing folder, so a second checkpoint on the same Bronze path
+    would overwrite earlier batches (same id, same hour) or duplicate them."""
+    marker = f"{bronze_path.rstrip('/')}/{OWNER_MARKER}"
+    want = _norm(checkpoint)
+    if path_exists(spark, marker):
+        owner = spark.read.text(marker).first()
+        if owner is not None and owner.value != want:
+            raise ValueError(
+                f"{bronze_path} is fed by checkpoint {owner.value}; a stream with another "
+                "checkpoint needs its own Bronze path")
+        return
+    spark.createDataFrame([(want,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+
+
 def start_bronze_stream(
     source: DataFrame,
     bronze_path: str,
@@ -49,6 +77,7 @@ def start_bronze_stream(
     (tests, backfills); otherwise a processing-time trigger every ``interval``."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required for exactly-once ingest")
+    claim_bronze_path(source.sparkSession, bronze_path, checkpoint)
     writer = (
         source.writeStream.foreachBatch(bronze_batch_writer(bronze_path, null_policy))
         .option("checkpointLocation", checkpoint)

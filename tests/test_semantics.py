@@ -248,6 +248,9 @@ def test_stream_restart_with_same_checkpoint_adds_nothing(spark, tmp_root):
     assert read_bronze(spark, bronze).count() == 2
     with pytest.raises(ValueError):
         start_bronze_stream(src, bronze, "", available_now=True)
+    with pytest.raises(ValueError, match="own Bronze path"):
+        start_bronze_stream(src, bronze, f"{tmp_root}/_other_ckpt", available_now=True)
+    assert read_bronze(spark, bronze).count() == 2
 
 
 # --- Maintenance -----------------------------------------------------------------
