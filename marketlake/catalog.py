@@ -288,6 +288,10 @@ def q_maint_expired_snapshots(spark, sf_dir):
 
 
 def q_maint_orphan_files(spark, sf_dir):
+    """Stand-ins: every order is a file in the inventory (modified at its order
+    date); the lineitem rows with return flag ``R`` are the table references
+    (all of them, duplicates included). Without that flag every order would be
+    referenced and the candidate list would be empty."""
     configure(spark)
     d = sf_dir.rstrip("/")
     inventory = spark.read.parquet(f"{d}/orders.parquet").select(
