@@ -118,6 +118,23 @@ def leftover_inventory(spark: SparkSession, root: str) -> DataFrame | None:
     return None if found is None else found.dropDuplicates(["file_path"])
 
 
+def listed_files(
+    spark: SparkSession, path: str, partition_cols: list[str], schema
+) -> DataFrame | None:
+    """One row per data file of a partitioned table: partition values (typed as
+    in ``schema``), ``file_path`` and ``file_size``, from the file listing
+    alone; no file is opened. ``None`` when the listing holds no partition
+    folders (an empty table)."""
+    listing = spark.read.format("binaryFile").load(path)
+    if any(c not in listing.columns for c in partition_cols):
+        return None
+    return listing.select(
+        *[F.col(c).cast(schema[c].dataType).alias(c) for c in partition_cols],
+        normalize_path("path").alias("file_path"),
+        F.col("length").alias("file_size"),
+    )
+
+
 def referenced_files(table: DataFrame) -> DataFrame:
     """Files a table read actually uses, from the hidden ``_metadata`` column."""
     return table.select(normalize_path(F.col("_metadata.file_path")).alias("file_path")).distinct()

@@ -104,7 +104,8 @@ def compact(
     A partition is rewritten when it holds at least ``min_small_files`` files
     smaller than 3/4 of ``target_file_bytes``; the others are not touched, so a
     daily run rewrites only what changed instead of the whole table. The choice
-    comes from file metadata (``_metadata.file_size``), one row per partition.
+    comes from the file listing alone (sizes and partition folders; no file is
+    opened), one row per partition.
     The selected partitions are counted first (a metadata-only job); nothing to
     do ends there. Up to ``broadcast_max_partitions`` the list is broadcast for
     the semi-join, so dynamic partition pruning reads only the chosen
@@ -120,13 +121,19 @@ def compact(
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
-    from marketlake.operators.maintenance import file_stats
+    from marketlake.operators.maintenance import listed_files
 
     parts = list(partition_by)
     table = spark.read.schema(schema).parquet(path)
     small = int(target_file_bytes * 3 // 4)
     seen, chosen = Observation("compact_seen"), Observation("compact_chosen")
-    stats = file_stats(table, parts, small_file_bytes=small).observe(
+    files = listed_files(spark, path, parts, schema)
+    if files is None:  # no partition folders yet: nothing is fragmented
+        return {"partitions_rewritten": 0}
+    stats = files.groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_if(F.col("file_size") < F.lit(small)).alias("small_files"),
+    ).observe(
         seen,
         F.count(F.lit(1)).alias("partitions"),
         F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
