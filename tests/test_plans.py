@@ -83,3 +83,20 @@ def test_current_day_derives_the_dimension_once(spark):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
     assert final.count("FileScan parquet") == 1
+
+
+def test_compaction_rewrite_reads_only_chosen_partitions(spark, tmp_root, monkeypatch):
+    import marketlake.sinks.writers as writers
+
+    ticks = read_ticks(spark, SF_SMALL)
+    fragmented = ticks.filter("dt = DATE'2024-01-15'").repartition(8)
+    whole = ticks.filter("dt = DATE'2024-01-16'").coalesce(1)
+    fragmented.write.partitionBy("dt").parquet(tmp_root)
+    whole.write.mode("append").partitionBy("dt").parquet(tmp_root)
+    captured = {}
+    monkeypatch.setattr(writers, "publish", lambda df, *a, **k: captured.setdefault("df", df))
+    summary = writers.compact(spark, tmp_root, ticks.schema)
+    assert summary["partitions_rewritten"] == 1
+    text = plan_text(captured["df"])
+    assert "dynamicpruningexpression" in text, text
+    assert captured["df"].select("dt").distinct().collect()[0].dt.isoformat() == "2024-01-15"
