@@ -405,3 +405,27 @@ def test_vacuum_reports_leftovers_of_crashed_writes(spark, tmp_root):
     results, cands = run_vacuum(spark, paths)
     assert sorted(r.file_path for r in cands.collect()) == sorted(leftovers)
     assert {r.status for r in results} == {"ok"}
+
+
+def test_cluster_session_without_checkpoint_dir_is_refused():
+    from marketlake.session import checkpoint_root
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class NoJvmSession:  # e.g. a remote session: no JVM handle
+        def __init__(self, values):
+            self.conf = Conf(values)
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no JVM")
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(NoJvmSession({"spark.master": "yarn"}))
+    shared = "/shared/ckpt"
+    assert checkpoint_root(NoJvmSession({"spark.master": "yarn", "spark.checkpoint.dir": shared + "/"})) == shared
