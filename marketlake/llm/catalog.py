@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketlake.llm.bpe import round_trip
 from marketlake.llm.common import table
 from marketlake.llm.exact_dedup import exact_groups
+from marketlake.llm.minhash import near_groups
 from marketlake.llm.sharding import shard_documents
 from marketlake.llm.url_filters import url_verdicts
 
 SHARDS = 16
+TOKENIZER = "word_bpe_49k.json"
 
 #: The rule table of the registered URL query.
 URL_RULES = [
@@ -22,6 +25,12 @@ URL_RULES = [
 ]
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -30,13 +39,23 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_bpe": op4_bpe,
     "op5_url_filters": op5_url_filters,
+    "op9_minhash": op9_minhash,
 }
