@@ -27,6 +27,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from marketlake.llm.common import ship_by_value
+
+ship_by_value(__name__)
+
 #: Characters of text that are encoded at a time.
 BLOCK_CHARS = 2_000_000
 #: Words whose ids a worker keeps between blocks; when full it starts anew.
@@ -80,6 +84,16 @@ class BpeModel:
         with open(path, encoding="utf-8") as f:
             return cls(json.load(f))
 
+    def tables(self) -> dict:
+        """The model as plain values, to be sent to the executors."""
+        return self.__dict__
+
+    @classmethod
+    def of(cls, tables: dict) -> BpeModel:
+        model = cls.__new__(cls)
+        model.__dict__.update(tables)
+        return model
+
     def words(self, text: str) -> list[str]:
         """The text's words; a special token stands as a word of its own, marked
         by a leading space, which no other word holds."""
@@ -220,12 +234,13 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "tok
     stays. Rows are independent, so repeated rows and null keys need no rule.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(BpeModel.load(model_path))
+    tables = spark.sparkContext.broadcast(BpeModel.load(model_path).tables())
     docs = docs.drop(out)
     schema = docs.schema.add(out, "array<int>")
 
     def run(batches):
-        return _each(batches, Encoder(model.value), lambda rows, ids: _with_column(rows, **{out: _id_lists(ids)}))
+        encoder = Encoder(BpeModel.of(tables.value))
+        return _each(batches, encoder, lambda rows, ids: _with_column(rows, **{out: _id_lists(ids)}))
 
     return docs.withColumn("_x_text", docs[text]).mapInArrow(run, schema)
 
@@ -235,19 +250,21 @@ def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
     the ids as little-endian unsigned 32-bit integers) and decoded_sha256 (of the
     decoded text in UTF-8), both lowercase hex. A null text counts as empty.
     Other columns are not read."""
-    model = docs.sparkSession.sparkContext.broadcast(BpeModel.load(model_path))
+    tables = docs.sparkSession.sparkContext.broadcast(BpeModel.load(model_path).tables())
 
     def run(batches):
+        model = BpeModel.of(tables.value)
+
         def digest(rows, ids):
             return _with_column(
                 rows,
                 n_tokens=pa.array([len(x) for x in ids], pa.int64()),
                 ids_sha256=pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()),
                 decoded_sha256=pa.array(
-                    [hashlib.sha256(model.value.decode(x).encode("utf-8")).hexdigest() for x in ids], pa.string()),
+                    [hashlib.sha256(model.decode(x).encode("utf-8")).hexdigest() for x in ids], pa.string()),
             )
 
-        return _each(batches, Encoder(model.value), digest)
+        return _each(batches, Encoder(model), digest)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", docs["text"].alias("_x_text")).mapInArrow(run, schema)

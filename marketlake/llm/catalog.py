@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm.bpe import round_trip
 from marketlake.llm.common import table
+from marketlake.llm.embedding_dedup import near_vectors
 from marketlake.llm.exact_dedup import exact_groups
 from marketlake.llm.minhash import near_groups
 from marketlake.llm.sharding import shard_documents
@@ -52,10 +53,15 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
     "op5_url_filters": op5_url_filters,
     "op9_minhash": op9_minhash,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }

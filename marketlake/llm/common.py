@@ -8,6 +8,9 @@ machine-local folder on a cluster.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +20,22 @@ from marketlake.session import scratch_dir
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def ship_by_value(module: str) -> None:
+    """Send this module's functions to the executors whole, so that a worker needs
+    no copy of the package on its path."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once under the shared checkpoint folder and read it back."""
+    """Write ``df`` once under the shared checkpoint folder and read it back.
+
+    Also used for the result of an aggregate before it is joined on its own key:
+    with an exchange directly under both sides of the join, AQE can split a key
+    that holds a large share of the rows."""
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -22,7 +22,8 @@ def components(links: DataFrame) -> DataFrame:
     spark = links.sparkSession
     edges = stored(spark, _oriented(links), "links")
     while not _are_stars(edges):
-        after = stored(spark, _small_star(_large_star(edges)), "links")
+        large = stored(spark, _large_star(edges), "links")
+        after = stored(spark, _small_star(large), "links")
         discard(spark, edges)
         edges = after
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
@@ -50,6 +51,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     # Neighbours larger than the node attach to the smallest of its neighbourhood.
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = stored(edges.sparkSession, least, "links-least")
     return (
         both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     )
@@ -57,7 +59,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     # The node and its smaller neighbours attach to the smallest of them.
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(edges.sparkSession, edges.groupBy("a").agg(F.min("b").alias("m")), "links-least")
     joined = edges.join(least, "a")
     return (
         joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))

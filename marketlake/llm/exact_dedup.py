@@ -31,12 +31,13 @@ def refine(docs: DataFrame, text: str = "text") -> DataFrame:
         "_x_prefix": F.xxhash64(F.substring(normal, 1, PREFIX_CHARS)),
     })
     short = keyed.select("_x_len", "_x_prefix")
-    by_length = short.groupBy("_x_len").count().where("count > 1").select("_x_len")
-    by_prefix = (
+    spark = docs.sparkSession
+    by_length = stored(spark, short.groupBy("_x_len").count().where("count > 1").select("_x_len"), "exact-lengths")
+    by_prefix = stored(spark, (
         short.join(by_length, "_x_len", "left_semi")
         .groupBy("_x_prefix", "_x_len").count().where("count > 1")
         .select("_x_len", "_x_prefix", F.lit(True).alias("_x_shared"))
-    )
+    ), "exact-prefixes")
     return (
         keyed.join(by_prefix, ["_x_len", "_x_prefix"], "left")
         .withColumn("full_hash", F.when(F.col("_x_shared"), F.sha2(normal, 256)))
@@ -79,7 +80,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     first = (F.col("at") == 0) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (
         F.col("_x_chars") == F.col("keep_chars"))
     return (
-        rows.join(keepers(rows, "text_sha256"), "text_sha256", "left")
+        rows.join(stored(docs.sparkSession, keepers(rows, "text_sha256"), "exact-keepers"), "text_sha256", "left")
         .withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_x_n") - 1)))
         .select(
             "doc_id",
@@ -102,7 +103,8 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     ), "exact-candidates")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_x_chars") == F.col("keep_chars"))
     dropped = (
-        candidates.join(keepers(candidates, "full_hash"), "full_hash").where(~stays)
+        candidates.join(stored(docs.sparkSession, keepers(candidates, "full_hash"), "exact-keepers"), "full_hash")
+        .where(~stays)
         .select(F.col("doc_id").alias("_x_id"), F.col("_x_chars").alias("_x_gone")).distinct()
     )
     return docs.join(

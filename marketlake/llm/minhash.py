@@ -32,10 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored
+from marketlake.llm.common import ship_by_value, stored
 from marketlake.llm.components import components
 from marketlake.llm.shingles import mix64, shingle_sets, text_blocks
 
+ship_by_value(__name__)
+
 #: 40 bands of 6: of pairs at similarity 0.8, all but 5 in a million share a band.
 BANDS, ROWS = 40, 6
 #: Signature similarity below which a pair is not confirmed: four standard
@@ -227,17 +229,17 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     ), "minhash-signatures")
     whole = signed.where("n > 0 and doc_id is not null")
 
-    classes = whole.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
-    copies = (
-        whole.select("doc_id", "set_key").join(classes.where("rep <> last"), "set_key")
-        .where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    )
-    reps = whole.join(classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
+    company = whole.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    classed = whole.join(stored(
+        spark, company.where("rep <> last").select("set_key", "rep"), "minhash-classes"), "set_key", "left")
+    copies = classed.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
+    reps = classed.where("rep is null or doc_id = rep").select("doc_id", "n", "bands", "sketch")
 
     member = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     hubs = member.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"),
                                      F.count(F.lit(1)).alias("members")).where("hub <> last")
-    shared = stored(spark, member.join(hubs.drop("last"), "key"), "minhash-buckets")
+    hubs = stored(spark, hubs.drop("last"), "minhash-hubs")
+    shared = stored(spark, member.join(hubs, "key"), "minhash-buckets")
 
     company = shared.select("doc_id").distinct()
     sets = stored(spark, texts.join(company, "doc_id", "left_semi").mapInArrow(

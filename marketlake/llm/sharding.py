@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from marketlake.llm.common import ship_by_value
+
+ship_by_value(__name__)
+
 # Fixed values of the published algorithm: its linear congruential step.
 _STEP = np.uint64(2862933555777941757)
 _ONE = np.uint64(1)

@@ -6,6 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from marketlake.llm.common import ship_by_value
+
+ship_by_value(__name__)
+
 #: Bytes of text that are hashed at a time.
 BLOCK_BYTES = 2_000_000
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import ascii_lower
+from marketlake.llm.common import ascii_lower, stored
 
 #: Hexadecimal digits of the digest that the equi-join uses (32 bits).
 SHORT_DIGITS = 8
@@ -120,7 +120,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow") ->
         F.when(F.col("rule_verdict") == "block", 0).otherwise(1).alias("strict"),
         name.alias("rule"), F.col("rule_verdict").alias("verdict"),
     )
-    best = hits.groupBy("url").agg(F.min(order).alias("best"))
+    best = stored(pages.sparkSession, hits.groupBy("url").agg(F.min(order).alias("best")), "url-rules")
     return (
         pages.join(best, "url", "left")
         .select(
