@@ -11,6 +11,8 @@ from marketlake.llm.common import table
 from marketlake.llm.embedding_dedup import near_vectors
 from marketlake.llm.exact_dedup import exact_groups
 from marketlake.llm.minhash import near_groups
+from marketlake.llm.mixing import mix
+from marketlake.llm.quality import quality_scores
 from marketlake.llm.sharding import shard_documents
 from marketlake.llm.url_filters import url_verdicts
 
@@ -49,6 +51,14 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), entropy_share=0.95, repetition_limit=2.0)
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -62,6 +72,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
     "op5_url_filters": op5_url_filters,
+    "op7_quality": op7_quality,
+    "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
     "op10_embedding_dedup": op10_embedding_dedup,
 }

@@ -12,6 +12,8 @@ ship_by_value(__name__)
 
 #: Bytes of text that are hashed at a time.
 BLOCK_BYTES = 2_000_000
+#: Most texts of a block, however short.
+BLOCK_TEXTS = 2_000
 
 _U = np.uint64
 # Fixed value: the white space of the contracts.
@@ -73,12 +75,13 @@ def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def text_blocks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """The texts as UTF-8 in blocks of about ``BLOCK_BYTES`` (or one longer text)."""
+    """The texts as UTF-8 in blocks of about ``BLOCK_BYTES`` (or one longer text)
+    and at most ``BLOCK_TEXTS`` texts."""
     block: list[bytes] = []
     held = begin = 0
     for i, text in enumerate(texts):
         block.append((text or "").encode("utf-8", "surrogatepass"))
         held += len(block[-1])
-        if held >= BLOCK_BYTES or i + 1 == len(texts):
+        if held >= BLOCK_BYTES or len(block) >= BLOCK_TEXTS or i + 1 == len(texts):
             yield begin, block
             block, held, begin = [], 0, i + 1
