@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm.bpe import round_trip
+from marketlake.llm.chat import format_chats
 from marketlake.llm.common import table
 from marketlake.llm.embedding_dedup import near_vectors
 from marketlake.llm.exact_dedup import exact_groups
+from marketlake.llm.line_dedup import delete_repeated_runs
 from marketlake.llm.minhash import near_groups
 from marketlake.llm.mixing import mix
 from marketlake.llm.quality import quality_scores
@@ -34,6 +36,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delete_repeated_runs(table(spark, sf_dir, "documents"), run=3)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -51,6 +57,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -68,10 +78,12 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
     "op5_url_filters": op5_url_filters,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,

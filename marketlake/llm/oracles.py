@@ -5,6 +5,29 @@ from __future__ import annotations
 # Fixed value: the white space of the contracts, as a regular expression.
 _WS = r"[\x20\x09-\x0D]"
 
+# Every window of three non-blank lines that occurred before is deleted.
+_OP1 = rf"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p
+  FROM documents
+), f AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS i FROM l
+  WHERE regexp_replace(line, '{_WS}', '', 'g') <> ''
+), w AS (
+  SELECT a.doc_id, a.i, row_number() OVER (PARTITION BY a.line, b.line, c.line ORDER BY a.doc_id, a.i) AS seen
+  FROM f a JOIN f b ON b.doc_id = a.doc_id AND b.i = a.i + 1 JOIN f c ON c.doc_id = a.doc_id AND c.i = a.i + 2
+), gone AS (
+  SELECT DISTINCT f.doc_id, f.p FROM w JOIN f ON f.doc_id = w.doc_id AND f.i BETWEEN w.i AND w.i + 2 WHERE seen > 1
+), t AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.p) AS n_removed,
+         coalesce(string_agg(l.line, chr(10) ORDER BY l.p) FILTER (WHERE g.p IS NULL), '') AS text
+  FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.p = l.p GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN t.text END AS text
+FROM documents d LEFT JOIN t USING (doc_id)
+"""
+
 _OP3 = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t FROM documents
@@ -72,7 +95,26 @@ WITH p AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE rn = 1
 """
 
+_OP6 = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, coalesce(turn, 9223372036854775807) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), s AS (
+  SELECT *, row_number() OVER o AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+         string_agg(turn || chr(1) || role || chr(1) || text, chr(2)) OVER (o ROWS UNBOUNDED PRECEDING) AS prefix
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), kept AS (
+  SELECT min(conv_id) AS conv_id, n FROM s WHERE i = n AND prefix NOT IN (SELECT prefix FROM s WHERE i < n)
+  GROUP BY n, prefix
+)
+SELECT conv_id, n AS n_turns, turn // 256 AS part,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text
+FROM t JOIN kept USING (conv_id) GROUP BY ALL
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": _OP1,
+    "op6_chat_formatting": _OP6,
     "op2_sharding": _OP2,
     "op3_exact_dedup": _OP3,
     "op5_url_filters": _OP5,
