@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from marketlake.llm.common import ship_by_value
 
@@ -236,7 +237,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "tok
     spark = docs.sparkSession
     tables = spark.sparkContext.broadcast(BpeModel.load(model_path).tables())
     docs = docs.drop(out)
-    schema = docs.schema.add(out, "array<int>")
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         encoder = Encoder(BpeModel.of(tables.value))
@@ -245,6 +246,22 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "tok
     return docs.withColumn("_x_text", docs[text]).mapInArrow(run, schema)
 
 
+def decode(docs: DataFrame, model_path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
+    """``docs`` with the decoded text of the array<int> column ``ids`` as ``out``. Null
+    or empty ids decode to an empty text; a column already named ``out`` is replaced."""
+    tables = docs.sparkSession.sparkContext.broadcast(BpeModel.load(model_path).tables())
+    docs = docs.drop(out)
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType())])
+
+    def run(batches):
+        model = BpeModel.of(tables.value)
+        for batch in batches:
+            texts = [model.decode(np.asarray(row or [], dtype=np.int64)) for row in batch.column(ids).to_pylist()]
+            yield _with_column(batch, **{out: pa.array(texts, pa.string())})
+
+    return docs.mapInArrow(run, schema)
+
+
 def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
     """Encode and decode every document: doc_id, n_tokens (long), ids_sha256 (of
     the ids as little-endian unsigned 32-bit integers) and decoded_sha256 (of the

@@ -261,6 +261,14 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     )
 
 
+def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The documents of ``docs`` that ``near_groups`` keeps, with all their columns:
+    of each group the one with the smallest doc_id."""
+    dropped = stored(docs.sparkSession, near_groups(docs, size, percent).where("not kept").select(
+        F.col("doc_id").alias("_x_id")).distinct(), "minhash-dropped")
+    return docs.join(dropped, docs["doc_id"] == F.col("_x_id"), "left_anti")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
