@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from marketlake.functions.columns import fill_nulls, enforce_types
-from marketlake.operators import maintenance, serving
+from marketlake.operators import maintenance
 from marketlake.operators.gold import daily_dimension, hourly_fact
+from marketlake.operators.gold_views import Gold
 from marketlake.operators.silver import silver_from_bronze
-from marketlake.plans.jobs import LayerPaths, run_collection_cycle, run_day
+from marketlake.plans.jobs import LayerPaths, open_gold, run_collection_cycle, run_day, run_vacuum
 from marketlake.schema import (
     BRONZE_SCHEMA,
     DIMENSION_SCHEMA,
@@ -34,11 +35,11 @@ from marketlake.schema import (
     SILVER_SCHEMA,
     BATCH_ID,
 )
-from marketlake.session import configure, scratch_dir
+from marketlake.session import configure, path_exists, scratch_dir
 from marketlake.sinks.writers import append_bronze, compact, publish
 from marketlake.sources.bronze import pack_pages, page_key_by_sequence, explode_pages, read_bronze
 from marketlake.sources.ndjson import read_ndjson
-from marketlake.sources.stream import landing_stream
+from marketlake.sources.stream import landing_stream, page_stream
 from marketlake.sources.tables import read_table
 from marketlake.sources.ticks import read_ticks, ticks_from_events
 from marketlake.streaming.bronze_ingest import prepare_bronze, start_bronze_stream
@@ -50,7 +51,8 @@ EXECUTION_DATE = "2024-01-15"
 SERIES_SYMBOL = "s0"
 SNAPSHOT_CUTOFF = "2001-07-25"
 ORPHAN_CUTOFF = "2001-07-29"
-STREAM_TIMEOUT_S = 600
+# The widest spreads are taken among more assets than are shown.
+SPREAD_AMONG = 40
 
 TICK_COLUMNS = PAYLOAD_FIELDS + ["ingestion_ts", "dt", "hour"]
 FACT_OUT = [c for c in FACT_SCHEMA.fieldNames() if c != PROCESSED_AT]
@@ -119,53 +121,63 @@ def q_silver_typing(spark, sf_dir):
 
 # --- Serving -------------------------------------------------------------------
 
-def _current_dim(spark, sf_dir):
-    return serving.current_snapshot(daily_dimension(_silver(spark, sf_dir)).drop(PROCESSED_AT))
+# Gold warehouses published by this process, by application and input folder.
+_PUBLISHED: dict[tuple[str, str], LayerPaths] = {}
 
 
-def _serving_fact(spark, sf_dir):
-    # Tick-grain fact: the hourly statistics are non-degenerate.
-    return _round_doubles(hourly_fact(_ticks(spark, sf_dir)).drop(PROCESSED_AT))
+def _gold(spark, sf_dir) -> Gold:
+    """The Gold tables of ``sf_dir``, published once per application: the
+    dimension from Silver, the fact at tick grain (its hourly statistics are
+    non-degenerate)."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    paths = _PUBLISHED.get(key)
+    if paths is None or not path_exists(spark, paths.dimension):
+        paths = LayerPaths(scratch_dir(spark, "gold"))
+        publish(daily_dimension(_silver(spark, sf_dir)).select(*DIMENSION_SCHEMA.fieldNames()), paths.dimension)
+        publish(hourly_fact(_ticks(spark, sf_dir)).select(*FACT_SCHEMA.fieldNames()), paths.fact)
+        _PUBLISHED[key] = paths
+    return open_gold(spark, paths)
 
 
 def q_serve_top_n(spark, sf_dir):
-    return serving.top_n(_current_dim(spark, sf_dir))
+    return _gold(spark, sf_dir).top_n().drop(PROCESSED_AT)
 
 
 def q_serve_market_cap(spark, sf_dir):
-    return serving.market_cap_view(serving.top_n(_current_dim(spark, sf_dir)))
+    return _gold(spark, sf_dir).market_cap()
 
 
 def q_serve_variation(spark, sf_dir):
-    return serving.variation_view(serving.top_n(_current_dim(spark, sf_dir)))
+    return _gold(spark, sf_dir).variation()
 
 
 def q_serve_top_spread(spark, sf_dir):
-    return _round_doubles(serving.top_spread(serving.top_n(_current_dim(spark, sf_dir))))
+    return _round_doubles(_gold(spark, sf_dir).top_spread(SPREAD_AMONG))
 
 
 def q_serve_kpis(spark, sf_dir):
-    return _round_doubles(serving.kpis(_current_dim(spark, sf_dir)))
+    return _round_doubles(_gold(spark, sf_dir).kpis())
 
 
 def q_serve_symbols(spark, sf_dir):
-    return serving.symbols(_serving_fact(spark, sf_dir))
+    return _gold(spark, sf_dir).symbols()
 
 
 def q_serve_hourly_series(spark, sf_dir):
-    return serving.hourly_series(_serving_fact(spark, sf_dir), SERIES_SYMBOL, "price")
+    return _round_doubles(_gold(spark, sf_dir).hourly_series(SERIES_SYMBOL, "price"))
 
 
 def q_serve_hourly_volume(spark, sf_dir):
-    return serving.hourly_series(_serving_fact(spark, sf_dir), SERIES_SYMBOL, "volume")
+    return _round_doubles(_gold(spark, sf_dir).hourly_series(SERIES_SYMBOL, "volume"))
 
 
 def q_serve_hourly_volatility(spark, sf_dir):
-    return serving.hourly_series(_serving_fact(spark, sf_dir), SERIES_SYMBOL, "volatility")
+    return _round_doubles(_gold(spark, sf_dir).hourly_series(SERIES_SYMBOL, "volatility"))
 
 
 def q_serve_default_series(spark, sf_dir):
-    return serving.default_series(_serving_fact(spark, sf_dir), "price")
+    return _round_doubles(_gold(spark, sf_dir).default_series("price"))
 
 
 # --- Bronze --------------------------------------------------------------------
@@ -173,14 +185,21 @@ def q_serve_default_series(spark, sf_dir):
 def _pages(spark, sf_dir) -> DataFrame:
     """Ticks packed into API-shaped page bodies of at most 250 objects
     (consecutive events), each object carrying one key the reader must ignore;
-    the page's fetch time is its latest snapshot time."""
+    the page's fetch time is its latest snapshot time. Even pages also hold a
+    null element and an object without an id, and every page has a failed twin
+    (an error object), all of which the reader must skip."""
     t = _ticks(spark, sf_dir, with_partitions=False, keep=["event_id"])
-    return pack_pages(
+    pages = pack_pages(
         t,
         page_key_by_sequence("event_id"),
         extra_fields={"sparkline": F.lit(None).cast(StringType()), "roi": F.col("event_id")},
         carry={"fetched_at": F.max("ingestion_ts")},
     )
+    odd = F.regexp_replace("body", r"^\[", '[null, {"symbol": "no id", "current_price": 1.0}, ')
+    pages = pages.withColumn("body", F.when(F.col("page_id") % 2 == 0, odd).otherwise(F.col("body")))
+    failed = pages.withColumns({
+        "page_id": -1 - F.col("page_id"), "body": F.lit('{"status": {"error_code": 429, "error_message": "limit"}}')})
+    return pages.unionByName(failed)
 
 
 def q_bronze_page_explode(spark, sf_dir):
@@ -212,15 +231,22 @@ def q_bronze_stream_ingest(spark, sf_dir):
     source = landing_stream(spark, sf_dir, schema, "parquet", glob="events.parquet")
     base, ckpt = scratch_dir(spark, "bronze-stream"), scratch_dir(spark, "bronze-stream-ckpt")
     query = start_bronze_stream(ticks_from_events(source, with_partitions=False), base, ckpt, available_now=True)
-    try:
-        if not query.awaitTermination(STREAM_TIMEOUT_S):
-            raise TimeoutError("bronze stream did not drain in time")
-    finally:
-        if query.isActive:
-            query.stop()
+    query.awaitTermination()
     return read_bronze(spark, base).drop(BATCH_ID)
 
 
+def q_bronze_page_stream(spark, sf_dir):
+    """Page bodies land as one file each and are streamed into Bronze. The time is
+    each file's own, so it is not compared."""
+    configure(spark)
+    landing = scratch_dir(spark, "landed-pages")
+    _pages(spark, sf_dir).select("page_id", "body").write.partitionBy("page_id").text(landing)
+    base, ckpt = scratch_dir(spark, "bronze-pages"), scratch_dir(spark, "bronze-pages-ckpt")
+    query = start_bronze_stream(page_stream(spark, landing), base, ckpt, available_now=True)
+    query.awaitTermination()
+    return read_bronze(spark, base).select(*PAYLOAD_FIELDS)
+
+
 def q_landing_ndjson_roundtrip(spark, sf_dir):
     out = scratch_dir(spark, "landing")
     run_collection_cycle(spark, _pages(spark, sf_dir), out)
@@ -254,23 +280,41 @@ def q_gold_dimension_roundtrip(spark, sf_dir):
 
 
 def q_daily_job_run(spark, sf_dir):
-    """Bronze JSON -> run_day over every day present (one pass per layer,
-    compaction included) -> the published fact table."""
+    """Bronze JSON -> run_day over every day present, Sundays among them (one
+    pass per layer, compaction and vacuum included) -> the published fact table,
+    with what the vacuum said."""
     paths = LayerPaths(scratch_dir(spark, "warehouse"))
     append_bronze(prepare_bronze(_ticks(spark, sf_dir, with_partitions=False)), paths.bronze)
-    run_day(spark, paths, None)
-    return _round_doubles(read_table(spark, paths.fact, FACT_SCHEMA).select(*FACT_OUT))
+    report = run_day(spark, paths, None)
+    healthy = all(r.status == "ok" for r in report["compaction"] + report["vacuum"])
+    fact = read_table(spark, paths.fact, FACT_SCHEMA).select(*FACT_OUT)
+    return _round_doubles(fact).withColumns({
+        "healthy": F.lit(healthy), "orphans": F.lit(report["orphan_candidates"].count()).cast("long")})
 
 
 # --- Maintenance ---------------------------------------------------------------
 
 def q_maint_compact(spark, sf_dir):
+    """Content of a compacted table, and whether compaction left fewer files."""
     path = scratch_dir(spark, "fragmented")
     fragmented = _ticks(spark, sf_dir).repartition(64)  # many small files per day
     fragmented.write.partitionBy("dt").parquet(path)
     schema = _ticks(spark, sf_dir).schema
-    compact(spark, path, schema)
-    return spark.read.schema(schema).parquet(path).select(*TICK_COLUMNS)
+    done = compact(spark, path, schema)
+    return spark.read.schema(schema).parquet(path).select(*TICK_COLUMNS).withColumn(
+        "fewer_files", F.lit(done["files_after"] < done["files"]))
+
+
+def q_maint_vacuum(spark, sf_dir):
+    """The vacuum's candidates, by folder, in a warehouse with a published fact
+    table and one stray file per day, all of them past their retention."""
+    configure(spark)
+    paths = LayerPaths(scratch_dir(spark, "vacuum"))
+    publish(hourly_fact(_ticks(spark, sf_dir)).select(*FACT_SCHEMA.fieldNames()), paths.fact)
+    _ticks(spark, sf_dir).select("id", "dt").repartition("dt").write.partitionBy("dt").parquet(f"{paths.root}/old export")
+    _, found = run_vacuum(spark, paths, now=_dt.datetime.now(_dt.timezone.utc) + _dt.timedelta(days=30))
+    return found.groupBy(F.array_join(F.slice(F.split("file_path", "/"), -3, 2), "/").alias("folder")).agg(
+        F.count(F.lit(1)).alias("files"))
 
 
 def _snapshot_log(spark, sf_dir):
@@ -289,15 +333,13 @@ def q_maint_expired_snapshots(spark, sf_dir):
 
 def q_maint_orphan_files(spark, sf_dir):
     """Stand-ins: every order is a file in the inventory (modified at its order
-    date); the lineitem rows with return flag ``R`` are the table references
-    (all of them, duplicates included). Without that flag every order would be
-    referenced and the candidate list would be empty."""
+    date); the lineitem rows are the table references (duplicates included).
+    Orders without any line are the orphans."""
     configure(spark)
     d = sf_dir.rstrip("/")
     inventory = spark.read.parquet(f"{d}/orders.parquet").select(
         F.col("o_orderkey").alias("file_path"), F.col("o_orderdate").cast("timestamp").alias("modified_at"))
-    referenced = spark.read.parquet(f"{d}/lineitem.parquet").filter(F.col("l_returnflag") == "R").select(
-        F.col("l_orderkey").alias("file_path"))
+    referenced = spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_orderkey").alias("file_path"))
     return maintenance.orphan_files(inventory, referenced, ORPHAN_CUTOFF)
 
 
@@ -309,7 +351,11 @@ def q_maint_file_stats(spark, sf_dir):
     path = scratch_dir(spark, "filestats")
     t = _ticks(spark, sf_dir)
     publish(t, path, ("dt",))
-    return maintenance.file_stats(spark.read.schema(t.schema).parquet(path), ["dt"])
+    stats = maintenance.file_stats(spark.read.schema(t.schema).parquet(path), ["dt"], small_file_bytes=128 * 1024 * 1024)
+    sound = (
+        (F.col("files") >= 1) & (F.col("small_files") <= F.col("files")) & (F.col("min_file_bytes") <= F.col("max_file_bytes"))
+        & (F.col("bytes") >= F.col("files") * F.col("min_file_bytes")) & (F.col("bytes") <= F.col("files") * F.col("max_file_bytes")))
+    return stats.select("dt", "rows", sound.alias("sound"))
 
 
 def q_quality_row_counts(spark, sf_dir):
@@ -350,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_metadata_keep_nulls": q_bronze_metadata_keep_nulls,
     "bronze_partition_scan": q_bronze_partition_scan,
     "bronze_stream_ingest": q_bronze_stream_ingest,
+    "bronze_page_stream": q_bronze_page_stream,
     "landing_ndjson_roundtrip": q_landing_ndjson_roundtrip,
     "silver_publish_roundtrip": q_silver_publish_roundtrip,
     "silver_daily_filter": q_silver_daily_filter,
@@ -357,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_dimension_roundtrip": q_gold_dimension_roundtrip,
     "daily_job_run": q_daily_job_run,
     "maint_compact": q_maint_compact,
+    "maint_vacuum": q_maint_vacuum,
     "maint_expired_snapshots": q_maint_expired_snapshots,
     "maint_orphan_files": q_maint_orphan_files,
     "maint_vacuum_days": q_maint_vacuum_days,

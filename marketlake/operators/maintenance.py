@@ -9,11 +9,13 @@ how fragmented a table is. Compaction itself is a writer (``sinks.compact``).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.columns import is_sunday
+from marketlake.session import any_path
 
 
 def _ts(value) -> Column:
@@ -75,10 +77,15 @@ def normalize_path(col: str | Column) -> Column:
     return F.regexp_replace(col, r"^file:/+", "/")
 
 
+def plain_path(path: str) -> str:
+    """``normalize_path`` for a path the driver holds."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
 def file_inventory(spark: SparkSession, prefix: str) -> DataFrame:
     """Every data file below ``prefix`` with size and modification time.
     Uses the ``binaryFile`` listing without its ``content`` column, so no file
-    bytes are read."""
+    is opened."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -91,33 +98,40 @@ def file_inventory(spark: SparkSession, prefix: str) -> DataFrame:
     )
 
 
-# Hidden folders a failed or crashed write leaves behind, which the normal file
-# listing skips: dynamic-overwrite staging and the output committer's temporary
-# tree (job attempt and task attempt levels). Searched at the warehouse root and
-# one level down (the table folders).
+# Hidden folders that a failed or crashed write leaves in the folder it wrote to,
+# and that the normal file listing skips: dynamic-overwrite staging and the output
+# committer's temporary tree (job attempt and task attempt levels).
 LEFTOVER_PATTERNS = (".spark-staging-*", "_temporary/*", "_temporary/*/_temporary/*")
-TABLE_LEVELS = ("", "*/")
-
 
-def leftover_inventory(spark: SparkSession, root: str) -> DataFrame | None:
-    """Files below the hidden write leftovers of ``root`` (same columns as
-    ``file_inventory``), or ``None`` when there are none. No table ever reads
-    them, so once older than the retention cutoff they are orphans; a running
-    write is younger than the cutoff and is never reported."""
-    from pyspark.errors import AnalysisException
 
-    root = root.rstrip("/")
+def leftover_inventory(spark: SparkSession, root: str, tables: list[str] = ()) -> DataFrame | None:
+    """Files below the hidden write leftovers of ``root``, of its direct
+    subfolders, and of every table path (same columns as ``file_inventory``), or
+    ``None`` when there are none. No table ever reads them, so once older than
+    the retention cutoff they are orphans; a running write is younger than the
+    cutoff and is never reported."""
+    # A folder between the root and a table may have been written to as well.
+    top = plain_path(root)
+    places = {_literal(root.rstrip("/")), _literal(root.rstrip("/")) + "/*"}
+    for path in tables:
+        places.add(_literal(path.rstrip("/")))
+        below = plain_path(path).removeprefix(top + "/").split("/") if plain_path(path).startswith(top + "/") else []
+        for depth in range(1, len(below)):
+            places.add(_literal("/".join([root.rstrip("/"), *below[:depth]])))
     found = None
-    for level in TABLE_LEVELS:
+    for place in sorted(places):
         for pattern in LEFTOVER_PATTERNS:
-            try:
-                part = file_inventory(spark, f"{root}/{level}{pattern}")
-            except AnalysisException:  # the pattern matches nothing
-                continue
-            found = part if found is None else found.unionByName(part)
+            if any_path(spark, f"{place}/{pattern}"):
+                part = file_inventory(spark, f"{place}/{pattern}")
+                found = part if found is None else found.unionByName(part)
     return None if found is None else found.dropDuplicates(["file_path"])
 
 
+def _literal(path: str) -> str:
+    """``path`` with the characters of glob patterns escaped."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def listed_files(
     spark: SparkSession, path: str, partition_cols: list[str], schema
 ) -> DataFrame | None:
@@ -135,9 +149,15 @@ def listed_files(
     )
 
 
-def referenced_files(table: DataFrame) -> DataFrame:
-    """Files a table read actually uses, from the hidden ``_metadata`` column."""
-    return table.select(normalize_path(F.col("_metadata.file_path")).alias("file_path")).distinct()
+def table_files(inventory: DataFrame, path: str, partition_cols: list[str]) -> DataFrame:
+    """The files of ``inventory`` that belong to the table at ``path``: those in
+    its partition folders. Decided by their paths alone, so a file without rows
+    and a file that cannot be read belong to the table as well, and no file is
+    opened."""
+    prefix = plain_path(path) + "/"
+    below = F.substr("file_path", F.lit(len(prefix) + 1))
+    layout = "^" + "".join(f"{re.escape(c)}=[^/]*/" for c in partition_cols) + "[^/]+$"
+    return inventory.where(F.startswith("file_path", F.lit(prefix)) & below.rlike(layout)).select("file_path")
 
 
 def file_stats(table: DataFrame, partition_cols: list[str], small_file_bytes: int | None = None) -> DataFrame:

@@ -38,7 +38,8 @@ DIM = f"""dim AS (
     SELECT *, row_number() OVER (PARTITION BY id, dt ORDER BY ingestion_ts DESC) AS rn FROM silver)
   WHERE rn = 1),
 cur AS (SELECT * FROM dim WHERE dt = (SELECT max(dt) FROM dim)),
-top AS (SELECT * FROM cur ORDER BY market_cap_rank ASC NULLS LAST, id LIMIT 20)"""
+top AS (SELECT * FROM cur ORDER BY market_cap_rank ASC NULLS LAST, id LIMIT 20),
+top40 AS (SELECT * FROM cur ORDER BY market_cap_rank ASC NULLS LAST, id LIMIT 40)"""
 
 
 def _fact(src: str) -> str:
@@ -61,9 +62,9 @@ def _fact(src: str) -> str:
 FROM {src} GROUP BY id, symbol, name, dt, hour"""
 
 
-def _series(cols: str) -> str:
+def _series(cols: str, symbol: str = "'s0'") -> str:
     return f"""WITH {TICKS}, fact AS ({_fact('ticks')})
-SELECT id, symbol, dt, hour, {cols} FROM fact WHERE symbol = 's0'"""
+SELECT id, symbol, dt, hour, {cols} FROM fact WHERE symbol = {symbol}"""
 
 
 _NULLED = """nulled AS (
@@ -111,7 +112,7 @@ SELECT id, symbol, name, market_cap, price_change_percentage_24h FROM top""",
     "serve_variation": f"""WITH {TICKS}, {SILVER}, {DIM}
 SELECT id, symbol, price_change_percentage_24h FROM top""",
     "serve_top_spread": f"""WITH {TICKS}, {SILVER}, {DIM}
-SELECT id, symbol, round(high_24h - low_24h, 6) AS spread_24h FROM top
+SELECT id, symbol, round(high_24h - low_24h, 6) AS spread_24h FROM top40
 ORDER BY high_24h - low_24h DESC NULLS LAST, id LIMIT 20""",
     "serve_kpis": f"""WITH {TICKS}, {SILVER}, {DIM}
 SELECT count(*) AS moedas_rastreadas,
@@ -123,7 +124,7 @@ FROM cur""",
     "serve_hourly_series": _series("preco_medio, preco_max, preco_min"),
     "serve_hourly_volume": _series("volume_medio"),
     "serve_hourly_volatility": _series("volatilidade_relativa"),
-    "serve_default_series": _series("preco_medio, preco_max, preco_min"),
+    "serve_default_series": _series("preco_medio, preco_max, preco_min", "(SELECT min(symbol) FROM ticks)"),
     "bronze_page_explode": f"WITH {TICKS} SELECT {PAYLOAD} FROM ticks",
     "bronze_null_fill": _filled(),
     "bronze_metadata": f"WITH {TICKS} SELECT {PAYLOAD}, ingestion_ts, dt, hour FROM ticks",
@@ -141,8 +142,11 @@ FROM (SELECT *, max(ingestion_ts) OVER (PARTITION BY event_id // 250) AS fetched
     "silver_daily_filter": f"WITH {TICKS}, {SILVER} SELECT * FROM silver WHERE dt = DATE '2024-01-15'",
     "gold_publish_roundtrip": f"WITH {TICKS}, {SILVER} {_fact('silver')}",
     "gold_dimension_roundtrip": f"WITH {TICKS}, {SILVER}, {DIM} SELECT * FROM dim",
-    "daily_job_run": f"WITH {TICKS}, {SILVER} {_fact('silver')}",
-    "maint_compact": f"WITH {TICKS} SELECT {PAYLOAD}, ingestion_ts, dt, hour FROM ticks",
+    "daily_job_run": f"WITH {TICKS}, {SILVER} SELECT *, TRUE AS healthy, 0 AS orphans FROM ({_fact('silver')})",
+    "maint_compact": f"WITH {TICKS} SELECT {PAYLOAD}, ingestion_ts, dt, hour, TRUE AS fewer_files FROM ticks",
+    "maint_vacuum": f"WITH {TICKS} SELECT 'old export/dt=' || dt AS folder, 1 AS files FROM ticks GROUP BY dt",
+    "maint_file_stats": f"WITH {TICKS} SELECT dt, count(*) AS rows, TRUE AS sound FROM ticks GROUP BY dt",
+    "bronze_page_stream": f"WITH {TICKS} SELECT {PAYLOAD} FROM ticks",
     "maint_expired_snapshots": """WITH log AS (
   SELECT o_orderstatus AS table_name, o_orderkey AS snapshot_id,
          CAST(o_orderdate AS TIMESTAMP) AS committed_at FROM orders),
@@ -154,7 +158,7 @@ WHERE committed_at < TIMESTAMP '2001-07-25' AND rn > 1""",
     "maint_orphan_files": """SELECT o_orderkey AS file_path, CAST(o_orderdate AS TIMESTAMP) AS modified_at
 FROM orders o
 WHERE CAST(o_orderdate AS TIMESTAMP) < TIMESTAMP '2001-07-29'
-  AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_orderkey = o.o_orderkey)""",
+  AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
     "maint_vacuum_days": f"WITH {TICKS} SELECT DISTINCT dt FROM ticks WHERE isodow(dt) = 7",
     "quality_row_counts": f"""WITH {TICKS}
 SELECT 'bronze' AS layer, count(*) AS rows FROM ticks

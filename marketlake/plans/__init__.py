@@ -3,10 +3,12 @@
 from marketlake.plans.jobs import (
     LayerPaths,
     MaintenanceResult,
+    open_gold,
     run_collection_cycle,
     run_compaction,
     run_day,
     run_gold,
+    run_ingest,
     run_silver,
     run_vacuum,
 )
@@ -18,6 +20,8 @@ __all__ = [
     "run_compaction",
     "run_day",
     "run_gold",
+    "run_ingest",
+    "open_gold",
     "run_silver",
     "run_vacuum",
 ]

@@ -10,38 +10,79 @@ import argparse
 import datetime as _dt
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlake.plans.jobs import LayerPaths, run_compaction, run_day, run_gold, run_silver, run_vacuum
+from marketlake.plans.jobs import (
+    LayerPaths,
+    run_collection_cycle,
+    run_compaction,
+    run_day,
+    run_gold,
+    run_ingest,
+    run_silver,
+    run_vacuum,
+)
+from marketlake.schema import RETENTION_DAYS, TRIGGER_INTERVAL
 
 
 def _date(text: str) -> str:
     return _dt.date.fromisoformat(text).isoformat()
 
 
+def _candidates(found: DataFrame, out: str | None) -> dict:
+    """Compute the vacuum's candidates: stored under ``out``, if given, and counted."""
+    if out:
+        found.write.mode("overwrite").json(out)
+        found = found.sparkSession.read.schema(found.schema).json(out)
+    row = found.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes")).first()
+    return {"files": row["files"], "bytes": row["bytes"], "list": out}
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="marketlake", description="market snapshot pipeline jobs")
-    parser.add_argument("job", choices=["silver", "gold", "day", "compaction", "vacuum"])
+    parser.add_argument("job", choices=["ingest", "collect", "silver", "gold", "day", "compaction", "vacuum"])
     parser.add_argument("--execution_date", type=_date, help="YYYY-MM-DD")
     parser.add_argument("--warehouse", required=True, help="root folder of the tables")
     parser.add_argument("--fact_input", choices=["silver", "bronze"], default="silver")
+    parser.add_argument("--landing", help="folder of landed page bodies, one file each (ingest, collect)")
+    parser.add_argument("--out", help="folder of the newline-JSON files (collect)")
+    parser.add_argument("--checkpoint", help="checkpoint folder of the stream (ingest)")
+    parser.add_argument("--available_now", action="store_true", help="ingest what has landed, then stop")
+    parser.add_argument("--interval", default=TRIGGER_INTERVAL, help="time between micro-batches (ingest)")
+    parser.add_argument("--retention_days", type=int, default=RETENTION_DAYS, help="age of vacuum candidates")
+    parser.add_argument("--candidates", help="folder for the list of vacuum candidates (day, vacuum)")
     args = parser.parse_args(argv)
+    if args.job == "ingest" and not (args.landing and args.checkpoint):
+        parser.error("ingest needs --landing and --checkpoint")
+    if args.job == "collect" and not (args.landing and args.out):
+        parser.error("collect needs --landing and --out")
     if args.job in ("silver", "gold", "day") and not args.execution_date:
         parser.error("--execution_date is required for this job")
 
     spark = SparkSession.builder.appName(f"marketlake-{args.job}").getOrCreate()
     paths = LayerPaths(args.warehouse)
-    if args.job == "silver":
+    if args.job == "ingest":
+        query = run_ingest(spark, paths, args.landing, args.checkpoint,
+                           available_now=args.available_now, interval=args.interval)
+        out = {"batches": len(query.recentProgress)}
+    elif args.job == "collect":
+        pages = spark.read.option("wholetext", "true").text(args.landing).select(
+            F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias("fetched_at"))
+        out = run_collection_cycle(spark, pages, args.out)
+    elif args.job == "silver":
         out = run_silver(spark, paths, args.execution_date)
     elif args.job == "gold":
         out = run_gold(spark, paths, args.execution_date, fact_input=args.fact_input)
     elif args.job == "day":
-        out = run_day(spark, paths, args.execution_date, fact_input=args.fact_input)
+        out = run_day(spark, paths, args.execution_date, fact_input=args.fact_input, retention_days=args.retention_days)
+        if "orphan_candidates" in out:
+            out["orphan_candidates"] = _candidates(out["orphan_candidates"], args.candidates)
     elif args.job == "compaction":
         out = [r.__dict__ for r in run_compaction(spark, paths)]
     else:
-        results, _ = run_vacuum(spark, paths)
-        out = [r.__dict__ for r in results]
+        results, found = run_vacuum(spark, paths, retention_days=args.retention_days)
+        out = {"tables": [r.__dict__ for r in results], "candidates": _candidates(found, args.candidates)}
     print(json.dumps(out, default=str))
     return 0
 

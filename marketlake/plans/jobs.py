@@ -18,13 +18,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators.gold import daily_dimension, hourly_fact
+from marketlake.operators.gold_views import Gold
 from marketlake.operators.maintenance import (
     file_inventory,
     is_vacuum_day,
     leftover_inventory,
-    normalize_path,
     orphan_files,
-    referenced_files,
+    plain_path,
+    table_files,
 )
 from marketlake.operators.silver import silver_from_bronze
 from marketlake.schema import (
@@ -32,16 +33,19 @@ from marketlake.schema import (
     DIMENSION_TABLE,
     FACT_SCHEMA,
     FACT_TABLE,
+    BATCH_ID,
     RETENTION_DAYS,
     SILVER_SCHEMA,
     SILVER_TABLE,
     BRONZE_TABLE,
+    TRIGGER_INTERVAL,
 )
-from marketlake.session import configure, path_exists
+from marketlake.session import child_folders, configure, path_exists, qualified
+from marketlake.sinks.rewrite import recover
 from marketlake.sinks.writers import append_bronze, compact, publish, write_ndjson
 from marketlake.sources.bronze import explode_pages, read_bronze
 from marketlake.sources.tables import read_table
-from marketlake.functions.columns import fill_nulls, ingestion_metadata
+from marketlake.functions.columns import fill_nulls, ingestion_metadata, retention_cutoff
 
 log = logging.getLogger("marketlake")
 
@@ -74,11 +78,13 @@ class LayerPaths:
         ]
 
 
+def open_gold(spark: SparkSession, paths: LayerPaths) -> Gold:
+    """The published Gold tables of a warehouse, to be queried."""
+    return Gold(spark, paths.fact, paths.dimension)
+
+
 def _metrics(obs: Observation) -> dict:
-    try:
-        return dict(obs.get)
-    except Exception:  # no action ran (empty input)
-        return {}
+    return dict(obs.get)
 
 
 def run_silver(
@@ -153,7 +159,7 @@ def run_compaction(spark: SparkSession, paths: LayerPaths) -> list[MaintenanceRe
             results.append(MaintenanceResult(name, "ok", "compacted"))
         except Exception as exc:  # keep going with the other tables
             log.warning("compaction of %s failed: %s", name, exc)
-            results.append(MaintenanceResult(name, "failed", str(exc)[:500]))
+            results.append(MaintenanceResult(name, "failed", str(exc)))
     return results
 
 
@@ -165,42 +171,59 @@ def run_vacuum(
 ) -> tuple[list[MaintenanceResult], DataFrame]:
     """Weekly vacuum: orphan-file candidates in the warehouse.
 
-    The inventory is every visible file under the warehouse root; a file is
-    referenced when one of the tables (Bronze, Silver, fact, dimension) reads
-    it. Unreferenced files older than the retention window are candidates (a
-    dropped table's folder, a stray export, files of a foreign layout, and the
-    staging or temporary files of a write that crashed before its commit). If a
-    table's references cannot be read, its folder is left out of the inventory
-    so that nothing of it is reported. Returns per-table status and the
-    candidate list; deleting is a separate, explicit step."""
-    from marketlake.schema import BRONZE_SCHEMA
-
-    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    cutoff = now - _dt.timedelta(days=retention_days)
-    tables = [(BRONZE_TABLE, paths.bronze, BRONZE_SCHEMA, "json")] + [
-        (n, p, s, "parquet") for n, p, s in paths.tables()]
-    results, refs, excluded = [], None, []
-    for name, path, schema, fmt in tables:
+    The inventory is the file listing of the warehouse root and of tables that
+    live elsewhere, with the staging and temporary files of writes that crashed.
+    A file is referenced when it lies in a partition folder of one of the tables,
+    which the listing tells as well: no data file is opened, so neither an empty
+    nor a broken file disturbs the job. Unreferenced files older than the
+    retention window are candidates. Interrupted rewrites are recovered first, so
+    a work folder never holds the only copy of a row.
+
+    ``now`` is an instant (naive values are UTC). Tables and roots are handled one
+    by one: one that cannot be listed is reported as failed, none of its files is
+    a candidate, and the others are still done. Returns the status of each and
+    the candidate list; deleting is a separate, explicit step."""
+    now = now or _dt.datetime.now(_dt.timezone.utc)
+    cutoff = retention_cutoff(now if now.tzinfo else now.replace(tzinfo=_dt.timezone.utc), retention_days)
+    tables = [(BRONZE_TABLE, qualified(spark, paths.bronze), ["dt", "hour", BATCH_ID])] + [
+        (name, qualified(spark, path), ["dt"]) for name, path, _ in paths.tables()]
+    root = qualified(spark, paths.root)
+    outside = [(n, p) for n, p, _ in tables if not plain_path(p).startswith(plain_path(root) + "/")]
+
+    results, excluded, inventory = [], [], None
+    for name, path, keys in tables:
         try:
             if not path_exists(spark, path):
                 results.append(MaintenanceResult(name, "skipped", "table does not exist"))
                 continue
-            table = spark.read.schema(schema).format(fmt).load(path)
-            r = referenced_files(table)
-            refs = r if refs is None else refs.unionByName(r)
-            results.append(MaintenanceResult(name, "ok", "references collected"))
+            recover(spark, path, len(keys) if name != BRONZE_TABLE else 2)
+            if not file_inventory(spark, path).isEmpty():
+                results.append(MaintenanceResult(name, "ok", "listed"))
+            else:
+                results.append(MaintenanceResult(name, "ok", "no files"))
         except Exception as exc:  # keep going; never report this table's files
             log.warning("vacuum of %s failed: %s", name, exc)
-            results.append(MaintenanceResult(name, "failed", str(exc)[:500]))
+            results.append(MaintenanceResult(name, "failed", str(exc)))
             excluded.append(path)
-    inventory = file_inventory(spark, paths.root)
-    leftovers = leftover_inventory(spark, paths.root)
-    if leftovers is not None:
-        inventory = inventory.unionByName(leftovers)
+    for name, place in [("warehouse", root), *outside]:
+        try:
+            if not path_exists(spark, place) or place in excluded:
+                continue
+            listed = file_inventory(spark, place)
+            hidden = leftover_inventory(spark, place, [p for _, p, _ in tables] if place == root else [])
+            found = listed if hidden is None else listed.unionByName(hidden)
+            inventory = found if inventory is None else inventory.unionByName(found)
+        except Exception as exc:
+            log.warning("listing %s failed: %s", place, exc)
+            results.append(MaintenanceResult(name, "failed", str(exc)))
+    if inventory is None:
+        inventory = spark.createDataFrame([], "file_path string, modified_at timestamp, size_bytes long")
     for path in excluded:
-        inventory = inventory.filter(~F.col("file_path").startswith(normalize_path(F.lit(path))))
-    if refs is None:
-        refs = spark.createDataFrame([], "file_path string")
+        inventory = inventory.filter(~F.startswith("file_path", F.lit(plain_path(path) + "/")))
+    refs = None
+    for _, path, keys in tables:
+        own = table_files(inventory, path, keys)
+        refs = own if refs is None else refs.unionByName(own)
     return results, orphan_files(inventory, refs, cutoff)
 
 
@@ -212,17 +235,21 @@ def run_day(
     fact_input: str = "silver",
     compact_tables: bool = True,
     now: _dt.datetime | None = None,
+    retention_days: int = RETENTION_DAYS,
 ) -> dict:
     """The daily sequence: Silver -> Gold -> compaction -> vacuum on Sundays.
 
-    ``dates`` may be one day or several (a backfill in one pass per layer)."""
+    ``dates`` may be one day, several (a backfill in one pass per layer) or None:
+    every day that Bronze holds."""
+    if dates is None:
+        dates = [d[3:] for d in child_folders(spark, paths.bronze) if d.startswith("dt=")]
     report = {"silver": run_silver(spark, paths, dates, clock)}
     report["gold"] = run_gold(spark, paths, dates, clock, fact_input)
     if compact_tables:
         report["compaction"] = run_compaction(spark, paths)
     days = [dates] if isinstance(dates, str) else list(dates or [])
     if any(is_vacuum_day(d) for d in days):
-        results, candidates = run_vacuum(spark, paths, now)
+        results, candidates = run_vacuum(spark, paths, now, retention_days)
         report["vacuum"] = results
         report["orphan_candidates"] = candidates
     return report
@@ -247,8 +274,35 @@ def run_collection_cycle(
     return _metrics(obs)
 
 
-def ingest_bronze_batch(spark: SparkSession, paths: LayerPaths, snapshots: DataFrame, null_policy: str = "zero") -> None:
-    """Batch (non-streaming) Bronze append of already-parsed snapshots."""
+def ingest_bronze_batch(
+    spark: SparkSession, paths: LayerPaths, snapshots: DataFrame, null_policy: str = "keep", batch_id: int | None = None
+) -> int:
+    """Append already-parsed snapshots to the Bronze layer that the stream feeds,
+    in the same layout. A caller that may repeat the append passes its own
+    negative ``batch_id``. Returns the number used."""
     from marketlake.streaming.bronze_ingest import prepare_bronze
 
-    append_bronze(prepare_bronze(snapshots, null_policy), paths.bronze)
+    if batch_id is not None and batch_id >= 0:
+        raise ValueError("numbers from 0 belong to the stream's micro-batches")
+    return append_bronze(prepare_bronze(snapshots, null_policy), paths.bronze, batch_id=batch_id)
+
+
+def run_ingest(
+    spark: SparkSession,
+    paths: LayerPaths,
+    landing: str,
+    checkpoint: str,
+    null_policy: str = "zero",
+    available_now: bool = False,
+    interval: str = TRIGGER_INTERVAL,
+):
+    """Stream landed page bodies (one file each) into Bronze until stopped, or,
+    with ``available_now``, until all that has landed is in."""
+    from marketlake.sources.stream import page_stream
+    from marketlake.streaming.bronze_ingest import start_bronze_stream
+
+    configure(spark)
+    query = start_bronze_stream(
+        page_stream(spark, landing), paths.bronze, checkpoint, null_policy, available_now, interval)
+    query.awaitTermination()
+    return query

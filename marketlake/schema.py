@@ -41,15 +41,27 @@ DIMENSION_COLUMNS = [
     "total_volume", "high_24h", "low_24h", "price_change_24h",
     "price_change_percentage_24h", "dt",
 ]
+PAYLOAD_SCHEMA = StructType([
+    StructField("id", StringType()),
+    StructField("symbol", StringType()),
+    StructField("name", StringType()),
+    StructField("current_price", DoubleType()),
+    StructField("market_cap", DoubleType()),
+    StructField("total_volume", DoubleType()),
+    StructField("price_change_24h", DoubleType()),
+    StructField("price_change_percentage_24h", DoubleType()),
+    StructField("market_cap_rank", IntegerType()),
+    StructField("high_24h", DoubleType()),
+    StructField("low_24h", DoubleType()),
+])
 BRONZE_TABLE = "coins_markets"
 SILVER_TABLE = "coins_markets_silver"
 FACT_TABLE = "fct_metricas_hora"
 DIMENSION_TABLE = "dim_moedas"
-# Collector defaults: records per page, pages per cycle, trigger interval,
+# Collector defaults: records per page, trigger interval,
 # snapshot retention, dashboard top-N (slider 10..100, default 20) and the
 # number of bars in the spread chart.
 PAGE_SIZE = 250
-PAGES_PER_CYCLE = 5
 TRIGGER_INTERVAL = "30 seconds"
 RETENTION_DAYS = 7
 TOP_N_DEFAULT = 20
@@ -60,20 +72,6 @@ SPREAD_TOP = 20
 PROCESSED_AT = "_processed_at"
 BATCH_ID = "batch_id"
 
-PAYLOAD_SCHEMA = StructType([
-    StructField("id", StringType()),
-    StructField("symbol", StringType()),
-    StructField("name", StringType()),
-    StructField("current_price", DoubleType()),
-    StructField("market_cap", DoubleType()),
-    StructField("total_volume", DoubleType()),
-    StructField("price_change_24h", DoubleType()),
-    StructField("price_change_percentage_24h", DoubleType()),
-    StructField("market_cap_rank", IntegerType()),
-    StructField("high_24h", DoubleType()),
-    StructField("low_24h", DoubleType()),
-])
-
 # Bronze on disk: payload + ingestion time, partitioned by dt / hour / batch_id.
 BRONZE_SCHEMA = StructType(
     PAYLOAD_SCHEMA.fields
@@ -118,15 +116,3 @@ DIMENSION_SCHEMA = StructType(
         StructField("dt", DateType()),
     ]
 )
-
-# Snapshot log and file inventory shapes used by the maintenance selectors.
-SNAPSHOT_LOG_SCHEMA = StructType([
-    StructField("table_name", StringType()),
-    StructField("snapshot_id", LongType()),
-    StructField("committed_at", TimestampType()),
-])
-FILE_INVENTORY_SCHEMA = StructType([
-    StructField("file_path", StringType()),
-    StructField("modified_at", TimestampType()),
-    StructField("size_bytes", LongType()),
-])

@@ -5,6 +5,7 @@ Nothing here sets the master or any storage credential: the cluster owns those.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -56,7 +57,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = jdir.get() if jdir.isDefined() else None
     if not root:
         master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise RuntimeError(
                 "spark.checkpoint.dir is unset: a cluster job needs a shared folder for "
                 "lineage cuts and scratch tables (set it to shared storage)")
@@ -66,9 +67,65 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Scratch folders handed out by this process, for ``clear_scratch``.
+_SCRATCH: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/marketlake-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/marketlake-scratch/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has handed out; call it when no
+    result that reads them is needed any more. Returns their number."""
+    paths, _SCRATCH[:] = list(_SCRATCH), []
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path as its object."""
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as file listings spell it: with its scheme, nothing escaped."""
+    fs, hpath = file_system(spark, path)
+    return fs.makeQualified(hpath).toString()
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path`` (none if it does not exist)."""
+    fs, hpath = file_system(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory())
+
+
+def any_path(spark: SparkSession, pattern: str) -> bool:
+    """Whether a glob pattern matches anything (metadata only)."""
+    fs, hpath = file_system(spark, pattern)
+    return bool(fs.globStatus(hpath))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = file_system(spark, path)
+    fs.delete(hpath, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the target must not exist."""
+    fs, src = file_system(spark, source)
+    _, dst = file_system(spark, target)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -1,11 +1,12 @@
 """Writers: Bronze JSON append, layer publish (dynamic partition overwrite),
-newline-JSON batch files, compaction."""
+newline-JSON batch files, compaction, folding of closed Bronze hours."""
 
 from marketlake.sinks.writers import (
     append_bronze,
     compact,
+    fold_bronze,
     publish,
     write_ndjson,
 )
 
-__all__ = ["append_bronze", "compact", "publish", "write_ndjson"]
+__all__ = ["append_bronze", "compact", "fold_bronze", "publish", "write_ndjson"]

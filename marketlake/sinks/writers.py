@@ -8,12 +8,15 @@ table gets neither thousands of tiny files nor one giant task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from marketlake.schema import BATCH_ID
+from marketlake.session import SESSION_SETTINGS, child_folders
+from marketlake.sinks.rewrite import recover, rewrite_folders
 from marketlake.sources.ndjson import NDJSON_TIMESTAMP_FORMAT
 
 # Millisecond text timestamps in Bronze JSON (what the JSON writer keeps).
@@ -54,29 +57,27 @@ def append_bronze(
     base: str,
     batch_id: int | None = None,
     partition_by: Sequence[str] = ("dt", "hour"),
-) -> None:
-    """Append snapshot rows to the Bronze JSON layer, partitioned by dt/hour.
-
-    With a ``batch_id`` the rows go to their own ``batch_id=<n>`` partition under
-    dynamic overwrite, so replaying a micro-batch replaces its earlier output
-    instead of duplicating it (the stream sink is at-least-once)."""
+) -> int:
+    """Append snapshot rows to the Bronze JSON layer, partitioned by dt/hour/batch_id.
+
+    Rows go to their own ``batch_id=<n>`` partition under dynamic overwrite, so
+    replaying a batch replaces its earlier output instead of duplicating it (the
+    stream sink is at-least-once). Micro-batches of a stream are numbered from 0;
+    an append without a ``batch_id`` takes a fresh negative number, so batch and
+    stream share one layout and one layer. Returns the number used."""
     from pyspark.sql import functions as F
 
-    cols = list(partition_by)
-    if batch_id is not None:
-        df = df.withColumn(BATCH_ID, F.lit(int(batch_id)).cast("long"))
-        cols.append(BATCH_ID)
-        mode, overwrite = "overwrite", "dynamic"
-    else:
-        mode, overwrite = "append", None
-    writer = (
-        _rebalanced(df, partition_by).write.mode(mode)
+    if batch_id is None:
+        batch_id = -1 - (uuid.uuid4().int >> 66)
+    df = df.withColumn(BATCH_ID, F.lit(int(batch_id)).cast("long"))
+    (
+        _rebalanced(df, partition_by).write.mode("overwrite")
         .option("timestampFormat", JSON_TIMESTAMP_FORMAT)
-        .partitionBy(*cols)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by, BATCH_ID)
+        .json(base)
     )
-    if overwrite:
-        writer = writer.option("partitionOverwriteMode", overwrite)
-    writer.json(base)
+    return batch_id
 
 
 def write_ndjson(df: DataFrame, out_dir: str, mode: str = "append") -> None:
@@ -97,69 +98,89 @@ def compact(
     max_records_per_file: int | None = None,
     target_file_bytes: int = 128 * 1024 * 1024,
     min_small_files: int = 2,
-    broadcast_max_partitions: int = 100_000,
+    group_size: int = 32,
 ) -> dict:
     """Rewrite the fragmented partitions of a Parquet table into fewer files.
 
     A partition is rewritten when it holds at least ``min_small_files`` files
     smaller than 3/4 of ``target_file_bytes``; the others are not touched, so a
-    daily run rewrites only what changed instead of the whole table. The choice
-    comes from the file listing alone (sizes and partition folders; no file is
-    opened), one row per partition.
-    The selected partitions are counted first (a metadata-only job); nothing to
-    do ends there. Up to ``broadcast_max_partitions`` the list is broadcast for
-    the semi-join, so dynamic partition pruning reads only the chosen
-    partitions and the table is never shuffled for the join; beyond that bound
-    the planner chooses. The rows are rebalanced so AQE cuts tasks of
-    about ``target_file_bytes`` (skewed partitions split, small ones merged),
-    and written back with dynamic partition overwrite. Spark stages the new
-    files and swaps partitions only at job commit, after every task finished,
-    so a lost executor re-runs its tasks against the untouched input.
-
-    Returns a summary observed during the same job: partitions and files
-    seen, partitions rewritten."""
-    from pyspark.sql import Observation
+    daily run rewrites only what changed. The choice comes from the file listing
+    alone (one listing, no file is opened). Chosen partitions are rewritten in
+    groups of ``group_size``: a group's folders are read by their paths, so the
+    plan is the same for ten and for 200,000 partitions and nothing is joined or
+    broadcast. Rows are rebalanced so that AQE cuts tasks of about
+    ``target_file_bytes``, in a session of its own, so that no other job sees
+    that setting. Files are written beside the table, counted and swapped in
+    (``sinks.rewrite``); interrupted swaps of an earlier run are recovered first.
+
+    Returns partitions, files and small files seen, partitions rewritten, and
+    files after."""
     from pyspark.sql import functions as F
 
     from marketlake.operators.maintenance import listed_files
 
-    parts = list(partition_by)
-    table = spark.read.schema(schema).parquet(path)
+    parts, path = list(partition_by), path.rstrip("/")
+    recover(spark, path, len(parts))
     small = int(target_file_bytes * 3 // 4)
-    seen, chosen = Observation("compact_seen"), Observation("compact_chosen")
     files = listed_files(spark, path, parts, schema)
     if files is None:  # no partition folders yet: nothing is fragmented
-        return {"partitions_rewritten": 0}
-    stats = files.groupBy(*parts).agg(
-        F.count(F.lit(1)).alias("files"),
-        F.count_if(F.col("file_size") < F.lit(small)).alias("small_files"),
-    ).observe(
-        seen,
-        F.count(F.lit(1)).alias("partitions"),
-        F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
-        F.coalesce(F.sum("small_files"), F.lit(0)).alias("small_files"),
-    )
-    todo = stats.filter(F.col("small_files") >= min_small_files).select(*parts).observe(
-        chosen, F.count(F.lit(1)).alias("partitions_rewritten"))
-    n_todo = todo.count()
-    if n_todo == 0:
-        return {"partitions_rewritten": 0}
-    chosen_parts = F.broadcast(todo) if n_todo <= broadcast_max_partitions else todo
-    rewrite = table.join(chosen_parts, on=parts, how="left_semi").select(*table.columns)
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    previous = spark.conf.get(key, None)
-    spark.conf.set(key, str(int(target_file_bytes)))
-    try:
-        publish(rewrite, path, parts, mode="dynamic", max_records_per_file=max_records_per_file)
-    finally:
-        if previous is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, previous)
-    summary = {}
-    for obs in (seen, chosen):
-        try:
-            summary.update(obs.get)
-        except Exception:  # empty table: no rows flowed through
-            pass
-    return summary
+        return {"partitions": 0, "files": 0, "small_files": 0, "partitions_rewritten": 0, "files_after": 0}
+    depth = len(parts)
+    folder = F.array_join(F.slice(F.split("file_path", "/"), -(depth + 1), depth), "/")
+    stats = files.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("file_size") < F.lit(small)).alias("small_files"))
+    # One row per partition folder: what the driver holds of any partitioned table.
+    seen = stats.collect()
+    todo = sorted(r["folder"] for r in seen if r["small_files"] >= min_small_files)
+
+    own = spark.newSession()
+    for key, value in (*SESSION_SETTINGS.items(), ("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_file_bytes)))):
+        own.conf.set(key, value)
+
+    def read(base: str, folders: list[str]) -> DataFrame:
+        return own.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders])
+
+    def write(df: DataFrame, base: str) -> None:
+        publish(df, base, parts, mode="replace", max_records_per_file=max_records_per_file)
+
+    for begin in range(0, len(todo), group_size):
+        rewrite_folders(spark, path, todo[begin:begin + group_size], parts, read, write)
+    after = listed_files(spark, path, parts, schema) if todo else files
+    return {
+        "partitions": len(seen),
+        "files": sum(r["files"] for r in seen),
+        "small_files": sum(r["small_files"] for r in seen),
+        "partitions_rewritten": len(todo),
+        "files_after": after.count() if after is not None else 0,
+    }
+
+
+def fold_bronze(spark: SparkSession, base: str, dates: str | list[str], schema: StructType | None = None) -> int:
+    """Fold the batches of closed Bronze days: every hour keeps its rows, in one
+    ``batch_id`` folder instead of one per micro-batch (2,880 a day). Returns the
+    number of hours folded.
+
+    Only for days that no stream batch can be replayed into any more: a replay
+    would add its rows again. ``batch_id`` becomes the fold's own negative number."""
+    from pyspark.sql import functions as F
+
+    from marketlake.schema import BRONZE_SCHEMA
+
+    schema, base = schema or BRONZE_SCHEMA, base.rstrip("/")
+    recover(spark, base, 2)
+    folded = 0
+    for day in [dates] if isinstance(dates, str) else list(dates):
+        hours = [f"dt={day}/{h}" for h in child_folders(spark, f"{base}/dt={day}") if h.startswith("hour=")]
+        hours = [h for h in hours if len(child_folders(spark, f"{base}/{h}")) > 1]
+        if not hours:
+            continue
+
+        def read(root: str, folders: list[str]) -> DataFrame:
+            return spark.read.schema(schema).option("basePath", root).json([f"{root}/{f}" for f in folders])
+
+        def write(df: DataFrame, root: str) -> None:
+            append_bronze(df.drop(BATCH_ID), root)
+
+        rewrite_folders(spark, base, hours, ["dt", "hour"], read, write)
+        folded += len(hours)
+    return folded

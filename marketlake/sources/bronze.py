@@ -25,21 +25,27 @@ def explode_pages(
     """Parse page bodies and emit one row per asset object.
 
     Extra keys in an object are ignored, missing keys become null (schema-driven
-    projection). A malformed page parses to null and is dropped; its count is
-    reported through ``observation`` (``malformed_pages``) in the same pass.
-    ``keep`` names page-level columns (fetch time, page id) carried to each row.
+    projection). A body that is not a JSON array (an error object, text, null) is
+    a failed page and is skipped; null elements and objects without an ``id`` are
+    dropped. ``observation`` counts ``pages``, ``malformed_pages`` and
+    ``dropped_items`` in the same pass. ``keep`` names page-level columns (fetch
+    time, page id) carried to each row.
     """
     keep = list(keep or [])
-    parsed = pages.select(*keep, F.from_json(F.col(body_col), PAGE_ARRAY).alias("_items"))
+    body = F.col(body_col)
+    items = F.when(body.rlike(r"^\s*\["), F.from_json(body, PAGE_ARRAY))
+    parsed = pages.select(*keep, items.alias("_items"))
+    usable = F.filter("_items", lambda x: x.isNotNull() & x["id"].isNotNull())
     if observation is not None:
         parsed = parsed.observe(
             observation,
             F.count(F.lit(1)).alias("pages"),
             F.count_if(F.col("_items").isNull()).alias("malformed_pages"),
+            F.coalesce(F.sum(F.size("_items") - F.size(usable)), F.lit(0)).alias("dropped_items"),
         )
     return (
         parsed.filter(F.col("_items").isNotNull())
-        .select(*keep, F.explode("_items").alias("_item"))
+        .select(*keep, F.explode(usable).alias("_item"))
         .select(*keep, *[F.col("_item")[f].alias(f) for f in PAYLOAD_FIELDS])
     )
 
@@ -74,13 +80,21 @@ def read_bronze(
 ) -> DataFrame:
     """Scan the Bronze JSON layer with its fixed schema.
 
-    ``dates`` restricts to ``dt`` partitions (pruned at listing time: only those
-    directories are read). A missing layer gives an empty frame, not an error.
+    With ``dates`` only the folders of those days are listed and read, whatever
+    else the layer holds. A missing layer or day gives an empty frame, not an
+    error.
     """
     if not path_exists(spark, base):
         return spark.createDataFrame([], BRONZE_SCHEMA)
-    df = spark.read.schema(BRONZE_SCHEMA).json(base)
-    return filter_dates(df, dates)
+    reader = spark.read.schema(BRONZE_SCHEMA)
+    if dates is None:
+        return reader.json(base)
+    base = base.rstrip("/")
+    days = [f"{base}/dt={d}" for d in ([dates] if isinstance(dates, str) else dates)]
+    days = [d for d in dict.fromkeys(days) if path_exists(spark, d)]
+    if not days:
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    return reader.option("basePath", base).json(days)
 
 
 def filter_dates(df: DataFrame, dates: str | list[str] | None, col: str = "dt") -> DataFrame:

@@ -2,10 +2,12 @@
 
 Snapshot files land in a directory; a file stream reads each new batch with a
 fixed schema and ``foreachBatch`` appends it to the partitioned Bronze JSON
-layer. Exactly-once output comes from two parts: the checkpoint (required)
-records which files each batch consumed, and each batch writes to its own
-``batch_id`` partition with dynamic overwrite, so a replayed batch replaces its
-own files rather than adding duplicates.
+layer. Exactly-once output comes from three parts: the checkpoint (required)
+records which files each batch consumed; every row's time comes from the source
+(its own ``ingestion_ts``, the page's fetch time or the landed file's
+modification time), so a replayed batch computes the same dt and hour; and each
+batch writes to its own ``batch_id`` partition with dynamic overwrite, so the
+replay replaces its own files rather than adding duplicates.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from marketlake.functions.columns import fill_nulls, ingestion_metadata
 from marketlake.schema import PAYLOAD_FIELDS, TRIGGER_INTERVAL
 from marketlake.session import path_exists
 from marketlake.sinks.writers import append_bronze
+from marketlake.sources.bronze import explode_pages
 
 # Records which checkpoint feeds a Bronze path; the leading underscore hides it
 # from table scans and from the file inventory.
@@ -33,8 +36,16 @@ def prepare_bronze(df: DataFrame, null_policy: str = "zero") -> DataFrame:
     return ingestion_metadata(fill_nulls(df.select(*cols), null_policy))
 
 
+def rows_of_pages(source: DataFrame, body_col: str = "body", time_col: str = "fetched_at") -> DataFrame:
+    """Page bodies -> snapshot rows stamped with their page's fetch time."""
+    rows = explode_pages(source, body_col, keep=[time_col])
+    return rows.withColumnRenamed(time_col, "ingestion_ts")
+
+
 def bronze_batch_writer(bronze_path: str, null_policy: str = "zero") -> Callable[[DataFrame, int], None]:
     def process(batch_df: DataFrame, batch_id: int) -> None:
+        if "ingestion_ts" not in batch_df.columns:
+            raise ValueError("rows of a replayable batch need their own ingestion_ts")
         # An empty batch writes no partition, so no emptiness check (and no
         # second pass over the batch) is needed.
         append_bronze(prepare_bronze(batch_df, null_policy), bronze_path, batch_id=batch_id)
@@ -73,10 +84,19 @@ def start_bronze_stream(
     interval: str = TRIGGER_INTERVAL,
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """Start the ingest. ``available_now=True`` drains what has landed and stops
-    (tests, backfills); otherwise a processing-time trigger every ``interval``."""
+    """Start the ingest of snapshot rows, or of page bodies (``body`` and
+    ``fetched_at``, see ``sources.page_stream``).
+
+    The source carries the time of its rows: ``ingestion_ts`` or ``fetched_at``;
+    ``sources.with_landing_time`` adds it to a file stream without one.
+    ``available_now=True`` drains what has landed and stops (tests, backfills);
+    otherwise a processing-time trigger every ``interval``."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required for exactly-once ingest")
+    if {"body", "fetched_at"} <= set(source.columns):
+        source = rows_of_pages(source)
+    if "ingestion_ts" not in source.columns:
+        raise ValueError("the source needs ingestion_ts or fetched_at; see sources.with_landing_time")
     claim_bronze_path(source.sparkSession, bronze_path, checkpoint)
     writer = (
         source.writeStream.foreachBatch(bronze_batch_writer(bronze_path, null_policy))

@@ -5,15 +5,17 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_mod
+from marketlake.catalog import QUERIES
+from marketlake.oracles import ORACLES
 from tests.conftest import SF_CHECK, SF_SMALL
 from tools.oracle_check import duck, rows_key
 
-NAMES = sorted(entry_mod.queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(entry_mod.queries()) - set(entry_mod.oracle_sql())
-    assert rows_only == {"maint_file_stats"}
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLES) <= set(entry_mod.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -43,6 +45,25 @@ def test_query_matches_oracle(spark, con, name):
     assert rows_key(df.columns, rows) == rows_key(dcols, drows)
 
 
+def _rows(spark, name, *columns):
+    return [tuple(r[c] for c in columns) for r in entry_mod.queries()[name](spark, SF_CHECK).collect()]
+
+
+def test_views_come_in_their_order(spark):
+    caps = _rows(spark, "serve_market_cap", "market_cap", "id")
+    moves = _rows(spark, "serve_variation", "price_change_percentage_24h", "id")
+    assert len(caps) == len(moves) == 20 and caps == sorted(caps) and moves == sorted(moves)
+    spreads = _rows(spark, "serve_top_spread", "spread_24h", "id")
+    assert len(spreads) == 20 and spreads == sorted(spreads, key=lambda r: (-r[0], r[1]))
+    for name in ("serve_hourly_series", "serve_hourly_volume", "serve_hourly_volatility", "serve_default_series"):
+        series = _rows(spark, name, "dt", "hour", "id")
+        assert len(series) > 100 and series == sorted(series), name
+    symbols = _rows(spark, "serve_symbols", "symbol")
+    assert symbols == sorted(symbols)
+    ranks = _rows(spark, "serve_top_n", "market_cap_rank", "id")
+    assert ranks == sorted(ranks, key=lambda r: (r[0] is None, r[0], r[1]))
+
+
 def test_fixture_counts(spark):
     q = entry_mod.queries()
     assert q["silver_dedup"](spark, SF_CHECK).count() == 8916

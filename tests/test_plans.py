@@ -69,34 +69,33 @@ def test_day_filter_prunes_partitions(spark, tmp_root):
 def test_orphan_anti_join_dedups_references_first(spark):
     text = plan_text(entry_mod.queries()["maint_orphan_files"](spark, SF_SMALL))
     assert "LeftAnti" in text
-    assert "EqualTo(l_returnflag,R)" in text
     assert "LessThan(o_orderdate," in text
     # referenced keys are aggregated (de-duplicated) before they reach the join
     assert re.search(r"HashAggregate \(\d+\)\n\s+\+- Exchange", text)
 
 
-def test_current_day_derives_the_dimension_once(spark):
-    # The max-day side and the row side share one shuffle (AQE reuses it), so
-    # the events scan and both dedup shuffles run once.
-    df = entry_mod.queries()["serve_kpis"](spark, SF_SMALL)
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final
-    assert final.count("FileScan parquet") == 1
+@pytest.mark.parametrize("name", ["serve_top_n", "serve_market_cap", "serve_variation", "serve_top_spread", "serve_kpis"])
+def test_views_read_one_day_of_the_published_dimension(spark, name):
+    text = plan_text(entry_mod.queries()[name](spark, SF_SMALL))
+    assert re.search(r"PartitionFilters: \[[^\n]*dt#\d+ = ", text), text
+    assert "Window" not in text and "events.parquet" not in text
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
 
 
-def test_compaction_rewrite_reads_only_chosen_partitions(spark, tmp_root, monkeypatch):
+def test_compaction_reads_only_chosen_folders_in_groups(spark, tmp_root, monkeypatch):
     import marketlake.sinks.writers as writers
 
     ticks = read_ticks(spark, SF_SMALL)
-    fragmented = ticks.filter("dt = DATE'2024-01-15'").repartition(8)
+    days = [f"2024-01-{d:02d}" for d in range(10, 15)]
+    ticks.filter(ticks.dt.isin(days)).repartition(8).write.partitionBy("dt").parquet(tmp_root)
     whole = ticks.filter("dt = DATE'2024-01-16'").coalesce(1)
-    fragmented.write.partitionBy("dt").parquet(tmp_root)
     whole.write.mode("append").partitionBy("dt").parquet(tmp_root)
-    captured = {}
-    monkeypatch.setattr(writers, "publish", lambda df, *a, **k: captured.setdefault("df", df))
-    summary = writers.compact(spark, tmp_root, ticks.schema)
-    assert summary["partitions_rewritten"] == 1
-    text = plan_text(captured["df"])
-    assert "dynamicpruningexpression" in text, text
-    assert captured["df"].select("dt").distinct().collect()[0].dt.isoformat() == "2024-01-15"
+    groups = []
+    rewrite = writers.rewrite_folders
+    monkeypatch.setattr(writers, "rewrite_folders", lambda s, p, folders, *a: (groups.append(folders), rewrite(s, p, folders, *a)))
+    before = {k: v for k, v in [(r.dt, r["count"]) for r in spark.read.parquet(tmp_root).groupBy("dt").count().collect()]}
+    summary = writers.compact(spark, tmp_root, ticks.schema, group_size=2)
+    assert summary["partitions_rewritten"] == 5 and summary["files_after"] < summary["files"]
+    assert groups == [[f"dt={d}" for d in days[k:k + 2]] for k in (0, 2, 4)]
+    assert before == {r.dt: r["count"] for r in spark.read.parquet(tmp_root).groupBy("dt").count().collect()}
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") != str(128 * 1024 * 1024)
