@@ -22,6 +22,8 @@ from marketlake.llm.common import SPACES, stored
 
 #: Tokens of a block on average.
 BLOCK_TOKENS = 200_000
+#: Block keys are summed up in 2**RANGE_BITS ranges.
+RANGE_BITS = 12
 #: Points between the bounds that one pass of the bisection evaluates, and passes:
 #: 12 passes narrow the exponent to 16**-12.
 POINTS, PASSES = 15, 12
@@ -129,16 +131,30 @@ def mix(docs: DataFrame, entropy_share: float = 0.95, repetition_limit: float =
     ), "mix-parts")
     totals = placed.groupBy("source", "part").agg(
         F.sum("tokens").alias("size"), F.first("full").alias("full"), F.first("left").alias("left"))
-    # A pass is a permutation of the blocks; `before` is what it has spent so far.
-    order = Window.partitionBy("source", "pass").orderBy("key", "part")
-    passes = (
+    # A pass is a permutation of the blocks. What it has spent before a block is summed
+    # in two levels, by ranges of the block's key, so no task orders a whole source.
+    blocks = stored(spark, (
         totals.withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full"))))
         .withColumn("key", _shuffle_key("source", "part", "pass", F.lit(seed)))
-        .withColumn("block", F.row_number().over(order) - 1)
-        .withColumn("before", F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("range", F.shiftright("key", 64 - RANGE_BITS))
+    ), "mix-blocks")
+    earlier = Window.partitionBy("source", "pass").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = stored(spark, (
+        blocks.groupBy("source", "pass", "range").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+        .select(F.col("source").alias("of"), F.col("pass").alias("of_pass"), F.col("range").alias("of_range"),
+                F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"),
+                F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("spent"))
+    ), "mix-ranges")
+    order = Window.partitionBy("source", "pass", "range").orderBy("key", "part")
+    passes = (
+        blocks.join(ranges, F.col("source").eqNullSafe(F.col("of")) & (F.col("pass") == F.col("of_pass"))
+                    & (F.col("range") == F.col("of_range")))
+        .withColumn("block", F.col("first") + F.row_number().over(order) - 1)
+        .withColumn("before", F.col("spent") + F.coalesce(
+            F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("room", F.when(F.col("pass") < F.col("full"), F.col("size")).otherwise(F.col("left") - F.col("before")))
         .where((F.col("pass") < F.col("full")) | (F.col("room") > 0))
-        .select(F.col("source").alias("of"), F.col("part").alias("in"), "pass", "block", "room")
+        .select("of", F.col("part").alias("in"), "pass", "block", "room")
     )
     inside = Window.partitionBy("source", "pass", "part").orderBy("key", "doc_id", "sum", "copy")
     return (
