@@ -26,6 +26,10 @@ def _ts(value) -> Column:
     return F.lit(value)
 
 
+# Tasks over which the snapshots of one table are spread.
+SALTS = 32
+
+
 def expired_snapshots(
     log: DataFrame,
     cutoff,
@@ -37,18 +41,20 @@ def expired_snapshots(
     table (the current snapshot is always retained).
 
     The newest snapshot per table is a hash aggregate (partial per map task, one
-    row per table after the shuffle) joined back on the table key; the join side
-    is tiny and AQE turns it into a broadcast on its measured size, while a
-    skewed table is never gathered into one task."""
+    row per table after the shuffle). It is joined back on the table and a salt
+    made of the snapshot, so a table that holds most of the log is spread over
+    ``SALTS`` tasks whichever join the planner picks."""
     newest = log.groupBy(table_col).agg(
         F.max(F.struct(F.col(ts_col).alias("t"), F.col(snapshot_col).alias("s"))).alias("_newest")
     )
+    newest = newest.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     is_newest = (F.col(ts_col) == F.col("_newest.t")) & (F.col(snapshot_col) == F.col("_newest.s"))
     return (
         log.filter(F.col(ts_col) < _ts(cutoff))
-        .join(newest, on=table_col, how="inner")
+        .withColumn("_salt", F.pmod(F.xxhash64(snapshot_col), F.lit(SALTS)).cast("int"))
+        .join(newest, on=[table_col, "_salt"], how="inner")
         .filter(~is_newest)
-        .drop("_newest")
+        .drop("_newest", "_salt")
     )
 
 

@@ -19,7 +19,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from marketlake.session import checkpoint_root, configure
+    from marketlake.session import checkpoint_root, clear_scratch, configure
 
     s = (
         SparkSession.builder.master("local[*]")
@@ -33,6 +33,7 @@ def spark():
     configure(s)
     checkpoint_root(s)
     yield s
+    clear_scratch(s)
     s.stop()
 
 
