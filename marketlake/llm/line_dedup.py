@@ -36,15 +36,18 @@ def _lines(text: Column) -> Column:
 
 
 def _filled(lines: Column) -> Column:
-    """Places of the non-blank lines."""
-    return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda p: without_spaces(F.get(lines, p)) != "")
+    """Hash and place of the non-blank lines."""
+    marked = F.transform(lines, lambda x, p: F.struct(
+        F.when(without_spaces(x) != "", F.xxhash64(x)).alias("hash"), p.alias("place")))
+    return F.filter(marked, lambda s: s["hash"].isNotNull())
 
 
-def _selected(hashes: Column, run: int) -> Column:
-    """For every selected line: its hash and the windows (start, two hashes of all
-    their lines) that selected it."""
+def _selected(filled: Column, run: int) -> Column:
+    """For every window: the line it selects (hash and index), two hashes of all its
+    lines, and their places in the text."""
+    hashes, places = filled["hash"], filled["place"]
     windows = F.transform(
-        F.sequence(F.lit(1), F.size(hashes) - run + 1),
+        F.sequence(F.lit(1), F.size(filled) - run + 1),
         lambda i: F.struct(
             (i - 1).alias("start"),
             F.array_min(F.slice(hashes, i, run)).alias("least"),
@@ -53,9 +56,10 @@ def _selected(hashes: Column, run: int) -> Column:
                                             F.array_min(F.slice(hashes, i, run)))).alias("place"),
             F.xxhash64(F.slice(hashes, i, run)).alias("one"),
             F.xxhash64(F.lit(1), F.slice(hashes, i, run)).alias("two"),
+            F.slice(places, i, run).alias("covers"),
         ),
     )
-    return F.when(F.size(hashes) >= run, windows)
+    return F.when(F.size(filled) >= run, windows)
 
 
 def delete_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
@@ -77,11 +81,9 @@ def delete_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("sum"))
     lines = _lines(F.col("text"))
-    hashed = rows.where(F.length("text") > 0).select(
-        "doc_id", "sum",
-        F.transform(F.filter(lines, lambda x: without_spaces(x) != ""), lambda x: F.xxhash64(x)).alias("hashes"))
+    hashed = rows.where(F.length("text") > 0).select("doc_id", "sum", _filled(lines).alias("filled"))
     # A place travels with the windows that selected it.
-    windows = hashed.select("doc_id", "sum", F.explode(_selected(F.col("hashes"), run)).alias("w")).select(
+    windows = hashed.select("doc_id", "sum", F.explode(_selected(F.col("filled"), run)).alias("w")).select(
         "doc_id", "sum", "w.*")
     windows = stored(spark, windows, "line-windows")
     where = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "sum", "place")
@@ -90,23 +92,21 @@ def delete_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
         .where("first <> last").select("least")
     ), "line-fingerprints")
     extended = windows.join(shared, "least").select(
-        "one", "two", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "sum", "start").alias("at"))
+        "one", "two", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "sum", "start").alias("at"), "covers")
     matched = stored(spark, (
         extended.groupBy("one", "two").agg(F.min("at").alias("first"), F.max("at").alias("last"))
         .where("first <> last").drop("last")
     ), "line-runs")
-    later = extended.join(matched, ["one", "two"]).where("at <> first").select("at.*")
+    later = extended.join(matched, ["one", "two"]).where("at <> first")
     removed = stored(spark, (
-        later.select(F.col("doc_id").alias("of"), F.col("sum").alias("of_sum"),
-                     F.explode(F.sequence(F.col("start"), F.col("start") + run - 1)).alias("line"))
+        later.select(F.col("at.doc_id").alias("of"), F.col("at.sum").alias("of_sum"), F.explode("covers").alias("line"))
         .groupBy("of", "of_sum").agg(F.collect_set("line").alias("gone"))
     ), "line-removed")
-    places = _filled(F.col("lines"))
-    kept = F.array_except(
-        F.sequence(F.lit(0), F.size("lines") - 1),
-        F.transform("gone", lambda i: F.get(places, i)))
+    # A sort-merge join by hint: the table of removed lines grows with the documents.
+    removed = removed.hint("merge")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     return (
-        rows.join(removed, rows["doc_id"].eqNullSafe(removed["of"]) & (F.col("sum") == F.col("of_sum")), "left")
+        rows.join(removed, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("sum") == F.col("of_sum")), "left")
         .withColumn("lines", lines)
         .select(
             "doc_id",
