@@ -38,8 +38,10 @@ def refine(docs: DataFrame, text: str = "text") -> DataFrame:
         .groupBy("_x_prefix", "_x_len").count().where("count > 1")
         .select("_x_len", "_x_prefix", F.lit(True).alias("_x_shared"))
     ), "exact-prefixes")
+    # A sort-merge join by hint: the table of shared prefixes grows with the documents,
+    # and so the plan is the same at every size.
     return (
-        keyed.join(by_prefix, ["_x_len", "_x_prefix"], "left")
+        keyed.join(by_prefix.hint("merge"), ["_x_len", "_x_prefix"], "left")
         .withColumn("full_hash", F.when(F.col("_x_shared"), F.sha2(normal, 256)))
         .drop("_x_len", "_x_prefix", "_x_shared")
     )
