@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from marketlake.llm import bpe, embedding_dedup, minhash, mixing, quality, sharding, shingles
 from marketlake.llm.catalog import tokenizer_path
 from marketlake.llm.chat import format_chats
+from marketlake.llm.common import possible
 from marketlake.llm.components import components
 from marketlake.llm.exact_dedup import drop_exact_copies, exact_groups
 from marketlake.llm.line_dedup import delete_repeated_runs
@@ -408,6 +409,19 @@ def test_components(spark):
     assert components(frame(spark, [], "a long, b long")).count() == 0
 
 
+def test_possible_never_holds_back_a_partner(spark):
+    left = frame(spark, [(i, i % 3) for i in [*range(-50, 2000), 2**62, -2**63]], "k long, v int")
+    right = frame(spark, [(i,) for i in [*range(-50, 2000, 7), 2**62, -2**63, 10**9]], "k long")
+    partners = {r.k for r in left.join(right, "k", "left_semi").collect()}
+    for bits in (1 << 26, 1 << 10):
+        kept = possible(left, right, "k", bits)
+        assert kept.columns == left.columns
+        found = {r.k for r in kept.collect()}
+        assert partners <= found
+        assert bits < 1 << 20 or len(found) < len(partners) + 5
+    assert possible(left, right.limit(0), "k").count() == 0
+
+
 # --- op10: embeddings --------------------------------------------------------------
 
 def vectors_brute(rows, least):
