@@ -52,6 +52,22 @@ def discard(spark: SparkSession, *frames: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def possible(df: DataFrame, keys: DataFrame, key: str, bits: int = 1 << 26) -> DataFrame:
+    """``df`` without most of the rows whose long ``key`` is not in ``keys``, so that a
+    join which follows moves less. The keys are marked in a bitmap of a fixed number
+    of ``bits`` (8 MB), which is sent to all tasks; with very many keys it fills up and
+    lets more rows pass, but never holds back a row that has a partner."""
+    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(bits))
+    marked = keys.select(slot.alias("_x_slot")).groupBy(F.bitmap_bucket_number("_x_slot").alias("_x_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_x_slot")).alias("_x_bits"))
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substr("_x_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (
+        df.withColumn("_x_bucket", F.bitmap_bucket_number(slot)).join(F.broadcast(marked), "_x_bucket")
+        .where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*df.columns)
+    )
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only; every other character stays as it is."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -24,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     while not _are_stars(edges):
         large = stored(spark, _large_star(edges), "links")
         after = stored(spark, _small_star(large), "links")
-        discard(spark, edges)
+        discard(spark, edges, large)
         edges = after
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
@@ -32,11 +32,10 @@ def components(links: DataFrame) -> DataFrame:
 
 def _are_stars(edges: DataFrame) -> bool:
     """Whether every node hangs on one node only, which itself hangs on none."""
-    parents = edges.select(F.col("b").alias("p")).distinct()
-    return (
-        edges.join(parents, edges["a"] == parents["p"], "left_semi").isEmpty()
-        and edges.groupBy("a").count().where("count > 1").isEmpty()
-    )
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return nodes.where("hangs > 1 or (hangs = 1 and holds = 1)").isEmpty()
 
 
 def _oriented(links: DataFrame) -> DataFrame:

@@ -19,7 +19,9 @@ No step lists all pairs of a group:
    their signatures, and those that may reach the threshold are confirmed on
    the full sets. A tile returns links that join components, not pairs.
 
-Components are found with joins (``components``).
+Components are found with joins (``components``). Joins of tables that grow with
+the data are sort-merge joins by hint: the plan is the same at every size, and
+nothing of unproven size is sent to all tasks.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
-from marketlake.llm.common import ship_by_value, stored
+from marketlake.llm.common import possible, ship_by_value, stored
 from marketlake.llm.components import components
 from marketlake.llm.shingles import mix64, shingle_sets, text_blocks
 
@@ -46,7 +49,7 @@ MARGIN = 0.1
 #: Shingles whose coordinates are made at a time (fits a core's cache).
 CHUNK = 32_768
 #: Documents of one block of a tile.
-TILE_ROWS = 512
+TILE_ROWS = 256
 
 _U32, _U64 = np.uint32, np.uint64
 
@@ -236,21 +239,18 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     reps = classed.where("rep is null or doc_id = rep").select("doc_id", "n", "bands", "sketch")
 
     member = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    hubs = member.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"),
-                                     F.count(F.lit(1)).alias("members")).where("hub <> last")
+    hubs = member.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub <> last")
     hubs = stored(spark, hubs.drop("last"), "minhash-hubs")
-    shared = stored(spark, member.join(hubs, "key"), "minhash-buckets")
-
-    company = shared.select("doc_id").distinct()
-    sets = stored(spark, texts.join(company, "doc_id", "left_semi").mapInArrow(
-        lambda it: _shingle(it, size), "doc_id long, shingles array<long>"), "minhash-sets")
+    shared = stored(spark, possible(member, hubs, "key").join(hubs, "key"), "minhash-buckets")
 
     stars = shared.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    star_links = _confirmed(stars, sets, percent)
-    links = stored(spark, star_links.union(copies).distinct(), "minhash-links")
+    close = stored(spark, _close(stars, reps, percent), "minhash-stars")
+    sets = _sets(texts, close.select(F.explode(F.array("a", "b")).alias("doc_id")), size)
+    links = stored(spark, _confirmed(close, sets, percent).union(copies).distinct(), "minhash-links")
     grouped = components(links)
 
-    more = stored(spark, _cross_links(shared, reps, sets, grouped, percent), "minhash-cross")
+    candidates = _cross_candidates(shared, reps, grouped, percent)
+    more = stored(spark, _cross_links(candidates, _sets(texts, candidates, size), percent), "minhash-cross")
     if not more.isEmpty():
         grouped = components(links.union(more))
     return (
@@ -269,47 +269,94 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     return docs.join(dropped, docs["doc_id"] == F.col("_x_id"), "left_anti")
 
 
+def _least_equal(percent: int) -> int:
+    """Equal bytes of two sketches from which a pair is confirmed."""
+    return int(np.ceil(BANDS * ROWS * ((percent / 100 - MARGIN) * 255 / 256 + 1 / 256)))
+
+
+def _close(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures allow them to reach the threshold."""
+
+    @pandas_udf("int")
+    def equal(one: pd.Series, two: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(s), dtype=np.uint8).reshape(len(s), -1) for s in (one, two))
+        return pd.Series((x == y).sum(axis=1), dtype=np.int32)
+
+    def side(name: str) -> DataFrame:
+        own = reps.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
+        return possible(own, pairs, name)
+
+    return (
+        pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        .where(equal("s_a", "s_b") >= _least_equal(percent)).select("a", "b")
+    )
+
+
+def _sets(texts: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """The full shingle sets of the documents in ``ids``."""
+    ids = ids.select("doc_id").distinct()
+    wanted = possible(texts, ids, "doc_id").join(ids.hint("merge"), "doc_id", "left_semi")
+    return stored(texts.sparkSession, wanted.mapInArrow(
+        lambda it: _shingle(it, size), "doc_id long, shingles array<long>"), "minhash-sets")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return (
-        pairs.join(one, "a").join(two, "b")
+        pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b")
         .where(100 * F.least(F.size("x"), F.size("y")) >= percent * F.greatest(F.size("x"), F.size("y")))
         .where(100 * both >= percent * (F.size("x") + F.size("y") - both))
         .select("a", "b")
     )
 
 
-def _cross_links(shared: DataFrame, reps: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of one bucket that the stars missed."""
+def _cross_candidates(shared: DataFrame, reps: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components of one bucket that may be links, as rows
+    (tile, document, its partners)."""
     spark = shared.sparkSession
     placed = (
         shared.join(grouped.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
-    open_keys = (
-        placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"))
-        .where("c <> d").select("key")
-    )
-    blocks = F.ceil(F.col("members") / TILE_ROWS).cast("int")
+    # The largest component of a bucket, and what is outside it.
+    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    open_keys = stored(spark, (
+        sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"),
+                                 F.count(F.lit(1)).alias("components"))
+        .where("components > 1")
+        .select("key", F.col("main.component").alias("main"),
+                F.ceil(F.col("main.n") / TILE_ROWS).cast("int").alias("main_blocks"),
+                F.ceil((F.col("all") - F.col("main.n")) / TILE_ROWS).cast("int").alias("blocks"))
+    ), "minhash-open-keys")
+    left = stored(spark, placed.join(open_keys, "key"), "minhash-open")
+    # Blocks outside the main component meet all blocks, those inside it only the former.
+    inside = F.col("component") == F.col("main")
+    spread = F.xxhash64("doc_id")
     tiles = (
-        placed.join(open_keys, "key", "left_semi")
-        .join(reps.select("doc_id", "n", "sketch"), "doc_id")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        left.join(possible(reps.select("doc_id", "n", "sketch"), left, "doc_id").hint("merge"), "doc_id")
+        .withColumn("block", F.when(inside, F.col("blocks") + F.pmod(spread, F.col("main_blocks")))
+                    .otherwise(F.pmod(spread, F.col("blocks"))).cast("int"))
+        .withColumn("other", F.explode(F.sequence(
+            F.lit(0), F.when(inside, F.col("blocks")).otherwise(F.col("blocks") + F.col("main_blocks")) - 1)))
         .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
                 "block", "band", "doc_id", "component", "n", "sketch")
         .repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     )
-    least = int(np.ceil(BANDS * ROWS * ((percent / 100 - MARGIN) * 255 / 256 + 1 / 256)))
-    candidates = stored(spark, tiles.mapInPandas(
+    least = _least_equal(percent)
+    return stored(spark, tiles.mapInPandas(
         lambda it: _tile_candidates(it, least, percent),
         "key long, low int, high int, doc_id long, component long, partners array<long>",
     ), "minhash-candidates")
+
+
+def _cross_links(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components, confirmed on the full sets."""
     return (
-        candidates.join(sets, "doc_id")
+        candidates.join(sets.hint("merge"), "doc_id")
         .repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
         .mapInPandas(lambda it: _tile_links(it, percent), "a long, b long")
     )
