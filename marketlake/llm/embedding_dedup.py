@@ -39,7 +39,7 @@ ship_by_value(__name__)
 
 #: Vectors of one shard; cells a vector belongs to; rows per centre and most
 #: centres of one split; cosine above which two centres are too near.
-SHARD_ROWS, OVERLAP, CENTRE_ROWS, CENTRES, CENTRE_COSINE = 2048, 3, 300, 64, 0.75
+SHARD_ROWS, OVERLAP, CENTRE_ROWS, CENTRES, CENTRE_COSINE = 2048, 2, 400, 64, 0.75
 #: Rows that share one copy of their cell's centres while cells are assigned.
 SALT_ROWS = 4096
 #: Out-degree of the graph, candidates that are pruned to it, and the slack
@@ -300,12 +300,13 @@ def _assign(frames: Iterator[pd.DataFrame], overlap: int) -> Iterator[pd.DataFra
             rows = rows[~candidate]
             if not len(rows):
                 continue
-            if centres is None:
+            if centres is None and picked:
                 own = pd.concat(picked)
                 centres = pick_centres(_unit(_matrix(own["embedding"])), int(own["centres"].iat[0]))
-            near = np.argsort(-(_unit(_matrix(rows["embedding"])) @ centres.T), axis=1, kind="stable")[:, :overlap]
-            if len(centres) < 2:
+            if centres is None or len(centres) < 2:
                 near = np.full((len(rows), 1), -1)
+            else:
+                near = np.argsort(-(_unit(_matrix(rows["embedding"])) @ centres.T), axis=1, kind="stable")[:, :overlap]
             for k in range(near.shape[1]):
                 yield pd.DataFrame({"node": rows["node"].to_numpy(), "cell": rows["cell"].to_numpy(), "centre": near[:, k]})
 
@@ -343,7 +344,7 @@ def _split(classes: DataFrame) -> DataFrame:
             picks.union(asked).withColumn("first", F.col("rank") < 0)
             .repartition("cell", "salt").sortWithinPartitions("cell", "salt", "first", "rank", "node").drop("first")
         )
-        overlap = OVERLAP if level == 0 else 2
+        overlap = OVERLAP
         found = stored(spark, dealt.mapInPandas(
             lambda it, o=overlap: _assign(it, o), "node long, cell long, centre int"), "embedding-cells")
         # A cell without two centres is one dense group: it stays and is cut into parts.
