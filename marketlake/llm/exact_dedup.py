@@ -97,7 +97,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns: one of each group of
     equal texts. Rows that repeat doc_id and text length within a group are one
-    document and stay or go together. A null doc_id is a value like any other."""
+    document and stay or go together; rows of another group, whatever their doc_id
+    and length, are not touched. A null doc_id is a value like any other."""
     chars = F.coalesce(F.length("text"), F.lit(0))
     candidates = stored(docs.sparkSession, (
         refine(docs.select("doc_id", "text")).where("full_hash is not null")
@@ -107,7 +108,11 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     dropped = (
         candidates.join(stored(docs.sparkSession, keepers(candidates, "full_hash"), "exact-keepers"), "full_hash")
         .where(~stays)
-        .select(F.col("doc_id").alias("_x_id"), F.col("_x_chars").alias("_x_gone")).distinct()
+        .select(F.col("doc_id").alias("_x_id"), F.col("_x_chars").alias("_x_gone"), F.col("full_hash").alias("_x_hash"))
+        .distinct()
     )
+    # A sort-merge join by hint: the table of dropped rows grows with the documents.
     return docs.join(
-        dropped, docs["doc_id"].eqNullSafe(F.col("_x_id")) & (chars == F.col("_x_gone")), "left_anti")
+        dropped.hint("merge"),
+        (F.sha2(without_spaces(docs["text"]), 256) == F.col("_x_hash"))
+        & docs["doc_id"].eqNullSafe(F.col("_x_id")) & (chars == F.col("_x_gone")), "left_anti")

@@ -143,6 +143,15 @@ def test_exact_groups(spark):
     assert drop_exact_copies(frame(spark, [], DOC)).count() == 0
 
 
+def test_dropped_copies_take_no_other_text_along(spark):
+    # Repeated and null doc_ids with texts of one length, of which only some have a copy.
+    docs = [(None, "abc"), (1, "abc"), (None, "xyz"), (None, "uvw"), (2, "uvw"), (None, "a b"), (None, None), (None, ""),
+            (5, "copy"), (4, "copy"), (5, "lone"), (5, "dear"), (6, "dear")]
+    kept = drop_exact_copies(frame(spark, docs, DOC))
+    assert as_counter(kept, "doc_id", "text") == Counter(
+        [(1, "abc"), (None, "xyz"), (2, "uvw"), (None, "a b"), (None, None), (None, ""), (4, "copy"), (5, "lone"), (5, "dear")])
+
+
 # --- op4: BPE ----------------------------------------------------------------------
 
 ODD = ["", " ", "a<|endoftext|>b <|startoftext|>", "ΣΑΣ ΟΔΟΣ", "İstanbul ŉ", "é e\u0301 A\u030A", "don't we'll I'M 123 ４５ Ⅷ",
