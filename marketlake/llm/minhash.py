@@ -150,11 +150,14 @@ def _groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Data
 def _tile_candidates(frames: Iterator[pd.DataFrame], least: int, percent: int) -> Iterator[pd.DataFrame]:
     """For every document of a tile with a partner in another component whose
     signature may reach the threshold: its partners with a larger place.
-    A pair is reported in the first band that both share, so only once."""
+    A pair is reported in the first band that both share, so only once. Bands are
+    compared by their whole keys, as buckets are: sketches may agree by chance in a
+    band whose bucket the two do not share."""
     for tile in _groups(frames, ["key", "low", "high"]):
         ids, comp, n = (tile[c].to_numpy() for c in ("doc_id", "component", "n"))
         block, low, high, band = tile["block"].to_numpy(), *(tile[c].iat[0] for c in ("low", "high", "band"))
         sketch = np.frombuffer(b"".join(tile["sketch"]), dtype=np.uint8).reshape(len(tile), -1)
+        earlier = np.concatenate(tile["earlier"].to_numpy()).reshape(len(tile), int(band))
         partners: dict[int, list[int]] = {}
         for i in range(len(tile) - 1):
             other = np.arange(i + 1, len(tile))
@@ -164,12 +167,9 @@ def _tile_candidates(frames: Iterator[pd.DataFrame], least: int, percent: int) -
                 other = other[block[other] != block[i]]
             if not len(other):
                 continue
-            same = sketch[other] == sketch[i]
-            close = same.sum(axis=1) >= least
-            other, same = other[close], same[close]
+            other = other[(sketch[other] == sketch[i]).sum(axis=1) >= least]
             if len(other):
-                first = same.reshape(len(other), BANDS, ROWS).all(axis=2).argmax(axis=1)
-                mine = other[first == band]
+                mine = other[~(earlier[other] == earlier[i]).any(axis=1)]
                 if len(mine):
                     partners.setdefault(i, []).extend(ids[mine].tolist())
                     for j in mine.tolist():
@@ -337,13 +337,14 @@ def _cross_candidates(shared: DataFrame, reps: DataFrame, grouped: DataFrame, pe
     inside = F.col("component") == F.col("main")
     spread = F.xxhash64("doc_id")
     tiles = (
-        left.join(possible(reps.select("doc_id", "n", "sketch"), left, "doc_id").hint("merge"), "doc_id")
+        left.join(possible(reps.select("doc_id", "n", "sketch", "bands"), left, "doc_id").hint("merge"), "doc_id")
         .withColumn("block", F.when(inside, F.col("blocks") + F.pmod(spread, F.col("main_blocks")))
                     .otherwise(F.pmod(spread, F.col("blocks"))).cast("int"))
         .withColumn("other", F.explode(F.sequence(
             F.lit(0), F.when(inside, F.col("blocks")).otherwise(F.col("blocks") + F.col("main_blocks")) - 1)))
         .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                "block", "band", "doc_id", "component", "n", "sketch")
+                "block", "band", "doc_id", "component", "n", "sketch",
+                F.slice("bands", 1, F.col("band")).alias("earlier"))
         .repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     )
     least = _least_equal(percent)

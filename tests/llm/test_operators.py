@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -395,6 +396,24 @@ def test_shingles_and_signatures():
     assert 0.01 < np.std(close) < 0.04
 
 
+def test_tile_compares_bands_by_their_whole_keys():
+    rng = np.random.default_rng(3)
+    one = rng.integers(0, 2**32, minhash.BANDS * minhash.ROWS, dtype=np.uint32)
+    two = one.copy()
+    two[:minhash.ROWS] ^= np.uint32(1 << 20)  # band 0 agrees in all low bytes only
+    signed = np.array([one, two])
+    bands = minhash.band_keys(signed).view(np.int64)
+    assert (bands[0] == bands[1]).tolist() == [False] + [True] * (minhash.BANDS - 1)
+    reported = []
+    for band in range(1, minhash.BANDS):
+        tile = pd.DataFrame({
+            "key": bands[0, band], "low": 0, "high": 0, "block": 0, "band": band, "doc_id": [1, 2], "component": [1, 2], "n": 50,
+            "sketch": [r.astype(np.uint8).tobytes() for r in signed], "earlier": list(bands[:, :band])})
+        for out in minhash._tile_candidates(iter([tile]), minhash._least_equal(80), 80):
+            reported.append((band, out["doc_id"].tolist(), [list(p) for p in out["partners"]]))
+    assert reported == [(1, [1, 2], [[2], []])]
+
+
 def test_components(spark):
     rng = random.Random(4)
     chain = [(i, i + 1) for i in range(100, 160)]
