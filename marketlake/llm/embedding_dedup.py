@@ -17,7 +17,9 @@ into shards that fit a task:
    range expansion until no hit is left unexpanded. Hits are verified by their
    cosine in double precision.
 5. The found links are audited against brute force over all rows for a bounded
-   sample of queries; under ``TARGET`` the search is repeated with a wider beam.
+   sample of queries, by link and by vector, so that a large group cannot hide lost
+   pairs; under ``TARGET`` in either, the work is dealt again with one more cell a
+   vector at every split and searched with a wider beam.
 
 A shard returns a count of links and a spanning forest, never the pairs: a pair
 that several shards hold is counted in one of them only.
@@ -37,9 +39,9 @@ from marketlake.llm.components import components
 
 ship_by_value(__name__)
 
-#: Vectors of one shard; cells a vector belongs to; rows per centre and most
+#: Vectors of one shard; cells a vector belongs to at first; rows per centre and most
 #: centres of one split; cosine above which two centres are too near.
-SHARD_ROWS, OVERLAP, CENTRE_ROWS, CENTRES, CENTRE_COSINE = 2048, 2, 400, 64, 0.75
+SHARD_ROWS, OVERLAP, CENTRE_ROWS, CENTRES, CENTRE_COSINE = 2048, 3, 300, 64, 0.75
 #: Rows that share one copy of their cell's centres while cells are assigned.
 SALT_ROWS = 4096
 #: Out-degree of the graph, candidates that are pruned to it, and the slack
@@ -47,8 +49,8 @@ SALT_ROWS = 4096
 DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
 #: Width of the greedy search, and queries searched at a time.
 BEAM, QUERY_ROWS = 16, 256
-#: Queries of the audit (a bounded sample), the recall it asks for and how often
-#: the beam is doubled to reach it.
+#: Queries of the audit (a bounded sample), the recall it asks for, of links and of
+#: vectors, and how often a cell is added and the beam doubled to reach it.
 AUDIT_ROWS, TARGET, WIDENINGS = 256, 0.95, 3
 
 _LAST = np.iinfo(np.int64).max
@@ -311,8 +313,9 @@ def _assign(frames: Iterator[pd.DataFrame], overlap: int) -> Iterator[pd.DataFra
                 yield pd.DataFrame({"node": rows["node"].to_numpy(), "cell": rows["cell"].to_numpy(), "centre": near[:, k]})
 
 
-def _split(classes: DataFrame) -> DataFrame:
-    """(node, cell) of every class; a vector is in several cells."""
+def _split(classes: DataFrame, overlap: int) -> DataFrame:
+    """(node, cell) of every class; a vector is in its ``overlap`` nearest cells at
+    the first split and in one less, but at least 2, at every later one."""
     spark = classes.sparkSession
     vectors = classes.select("node", "embedding")
     done = None
@@ -344,9 +347,9 @@ def _split(classes: DataFrame) -> DataFrame:
             picks.union(asked).withColumn("first", F.col("rank") < 0)
             .repartition("cell", "salt").sortWithinPartitions("cell", "salt", "first", "rank", "node").drop("first")
         )
-        overlap = OVERLAP
+        own = overlap if level == 0 else max(2, overlap - 1)
         found = stored(spark, dealt.mapInPandas(
-            lambda it, o=overlap: _assign(it, o), "node long, cell long, centre int"), "embedding-cells")
+            lambda it, o=own: _assign(it, o), "node long, cell long, centre int"), "embedding-cells")
         # A cell without two centres is one dense group: it stays and is cut into parts.
         whole = found.where("centre < 0").select("node", "cell")
         below = found.where("centre >= 0").select(
@@ -365,14 +368,38 @@ def _usable(embedding) -> F.Column:
     return F.coalesce(embedding.isNotNull() & finite & F.exists(embedding, lambda v: v != 0), F.lit(False))
 
 
+def _dealt(classes: DataFrame, overlap: int) -> DataFrame:
+    """Every pair of parts of a cell (``low``, ``high``) with its vectors and their graph."""
+    spark = classes.sparkSession
+    placed = stored(spark, _split(classes, overlap).distinct(), "embedding-placed")
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
+    shards = (
+        placed.join(sizes, "cell").withColumn("parts", F.ceil(F.col("size") / SHARD_ROWS).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .join(classes.select("node", "embedding", "copies"), "node")
+    )
+    graph = (
+        shards.select("cell", "part", "node", "embedding").groupBy("cell", "part")
+        .applyInPandas(_shard_graph, "node long, near array<long>")
+        .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    )
+    cells = placed.groupBy("node").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
+    nodes = stored(spark, shards.join(graph, "node").join(cells, "node").select(
+        "cell", "parts", "part", "node", "embedding", "copies", "near", "cells"), "embedding-graph")
+    return nodes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({
+        "low": F.least("part", "other"), "high": F.greatest("part", "other"),
+    }).drop("other", "parts")
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     """Group near copies among ``vectors`` (vec_id: long, embedding: array, label).
 
     Returns one row per input row: vec_id, n_links (long, other vectors linked
     directly), component_id (smallest vec_id reachable by links), kept (vec_id =
-    component_id) and audited_recall (found links over true links of the audit's
-    sample; 1.0 when that sample has no link). Linked are found pairs with the
-    same label and dimension and a cosine of ``least`` or more.
+    component_id), audited_recall (found links over true links of the audit's
+    sample; 1.0 when that sample has no link) and audited_vector_recall (the same
+    for each vector of the sample with a link, averaged). Linked are found pairs
+    with the same label and dimension and a cosine of ``least`` or more.
 
     - A vector that is null, empty or zero, or holds a null or non-finite
       component, and one with a null label, link with nothing.
@@ -394,36 +421,16 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
         .withColumn("cell", F.xxhash64("label", F.size("embedding")))
     ), "embedding-classes")
-    placed = stored(spark, _split(classes).distinct(), "embedding-placed")
-    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
-    shards = (
-        placed.join(sizes, "cell").withColumn("parts", F.ceil(F.col("size") / SHARD_ROWS).cast("int"))
-        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        .join(classes.select("node", "embedding", "copies"), "node")
-    )
-    graph = (
-        shards.select("cell", "part", "node", "embedding").groupBy("cell", "part")
-        .applyInPandas(_shard_graph, "node long, near array<long>")
-        .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    )
-    cells = placed.groupBy("node").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
-    nodes = stored(spark, shards.join(graph, "node").join(cells, "node").select(
-        "cell", "parts", "part", "node", "embedding", "copies", "near", "cells"), "embedding-graph")
-    dealt = nodes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({
-        "low": F.least("part", "other"), "high": F.greatest("part", "other"),
-    }).drop("other", "parts")
-
-    beam = BEAM
-    for _ in range(WIDENINGS + 1):
+    for widening in range(WIDENINGS + 1):
+        dealt = _dealt(classes, OVERLAP + widening)
         found = stored(spark, dealt.groupBy("cell", "low", "high").applyInPandas(
-            _linker(least, beam), "node long, links long, lowest long"), "embedding-links")
+            _linker(least, BEAM << widening), "node long, links long, lowest long"), "embedding-links")
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
         counted = stored(spark, classes.join(links, "node", "left").withColumn(
             "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))).drop("links"), "embedding-counts")
-        recall = audit_recall(counted, least)
-        if recall >= TARGET:
+        recall, vector_recall = audit_recall(counted, least)
+        if min(recall, vector_recall) >= TARGET:
             break
-        beam *= 2
     grouped = components(found.select(F.col("node").alias("a"), F.col("lowest").alias("b")))
     known = counted.select("node", "rep", "n_links").join(grouped, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -437,11 +444,13 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     return linked.union(alone).withColumns({
         "kept": F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)),
         "audited_recall": F.lit(recall),
+        "audited_vector_recall": F.lit(vector_recall),
     })
 
 
-def audit_recall(counted: DataFrame, least: float, queries: int = AUDIT_ROWS) -> float:
-    """Found links over true links of up to ``queries`` classes picked by a hash.
+def audit_recall(counted: DataFrame, least: float, queries: int = AUDIT_ROWS) -> tuple[float, float]:
+    """Found links over true links of up to ``queries`` classes picked by a hash: of
+    all their links, and the mean over the classes that have one.
 
     Every row is compared with the sample in blocks; the sample is bounded, so
     it is sent to all tasks, and only a count per query comes back.
@@ -465,9 +474,11 @@ def audit_recall(counted: DataFrame, least: float, queries: int = AUDIT_ROWS) ->
                         true[q] += int(fit["copies"].to_numpy()[hit].sum())
         yield pd.DataFrame({"node": list(true), "true": list(true.values())}, dtype=np.int64)
 
-    true = (
+    true = {r["node"]: r["n"] for r in (
         counted.select("node", "label", "embedding", "copies").mapInPandas(count, "node long, true long")
-        .agg(F.sum("true").alias("n")).first()["n"] or 0
-    )
-    found = sum(r["n_links"] - (r["copies"] - 1) for r in picked)
-    return found / true if true else 1.0
+        .groupBy("node").agg(F.sum("true").alias("n")).where("n > 0").collect()
+    )}
+    if not true:
+        return 1.0, 1.0
+    found = {r["node"]: r["n_links"] - (r["copies"] - 1) for r in picked if r["node"] in true}
+    return sum(found.values()) / sum(true.values()), sum(found[q] / n for q, n in true.items()) / len(true)

@@ -514,3 +514,23 @@ def test_range_search_finds_what_brute_force_finds():
     true = x @ x.T >= 0.93
     assert not (hits & (x @ x.T < 0.9299)).any()
     assert (hits & true).sum() >= 0.98 * true.sum()
+
+
+def test_a_large_group_does_not_hide_lost_pairs(spark, monkeypatch):
+    # With one cell a vector many pairs are torn apart, beside a group with nearly all links.
+    monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 500)
+    monkeypatch.setattr(embedding_dedup, "CENTRE_ROWS", 150)
+    monkeypatch.setattr(embedding_dedup, "OVERLAP", 1)
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=24)
+    rows = [(centre + rng.normal(size=24) * 0.1).tolist() for _ in range(200)]
+    for _ in range(500):
+        x = rng.normal(size=24)
+        rows += [x.tolist(), (x + rng.normal(size=24) * 0.36).tolist()]
+    rows = [(i, e, 0) for i, e in enumerate(rows)]
+    out = embedding_dedup.near_vectors(frame(spark, rows, "vec_id long, embedding array<double>, label int")).collect()
+    true = vectors_brute(rows, 0.93)
+    assert all(r.n_links <= true[r.vec_id][0] for r in out)
+    pairs = [(r.n_links, true[r.vec_id][0]) for r in out if r.vec_id >= 200 and true[r.vec_id][0]]
+    assert len(pairs) > 300
+    assert sum(f for f, _ in pairs) >= 0.93 * sum(n for _, n in pairs)
