@@ -39,7 +39,7 @@ def _halves(turns: DataFrame) -> DataFrame:
     one, two = F.xxhash64("turn", "role", "text"), F.xxhash64(F.lit(1), "turn", "role", "text")
     low = F.lit(0xFFFFFFFF).cast("long")
     return turns.select(
-        "conv_id", "part", "turn", one.bitwiseAND(low).alias("h0"), F.shiftrightunsigned(one, 32).alias("h1"),
+        "conv_id", "part", "turn", "role", "text", one.bitwiseAND(low).alias("h0"), F.shiftrightunsigned(one, 32).alias("h1"),
         two.bitwiseAND(low).alias("h2"), F.shiftrightunsigned(two, 32).alias("h3"),
     ).distinct()
 
@@ -56,7 +56,7 @@ def maximal_conversations(rows: DataFrame) -> DataFrame:
         F.sum("c").over(Window.partitionBy("conv_id")).alias("n_turns"),
         *[F.coalesce(F.sum(h).over(along), F.lit(0)).alias(f"before_{h}") for h in ["c", *_HASH]],
     ), "chat-chunks")
-    inside = Window.partitionBy("conv_id", "part").orderBy("turn", *_HASH).rowsBetween(
+    inside = Window.partitionBy("conv_id", "part").orderBy("turn", "role", "text").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     prefixes = (
         turns.join(chunks.drop("c", *_HASH), ["conv_id", "part"])

@@ -245,6 +245,18 @@ def test_format_chats(spark):
     assert format_chats(frame(spark, [], CHAT)).count() == 0
 
 
+def test_snapshots_end_inside_a_turn(spark):
+    # Rows of one turn follow each other by role and text, also where a snapshot ends.
+    rows, kept = [], set()
+    for c in range(0, 80, 2):
+        rows += [(c, 0, "user", f"a{c}"), (c + 1, 0, "user", f"a{c}"), (c + 1, 0, "user", f"b{c}")]
+        kept.add(c + 1)
+        rows += [(100 + c, 0, "user", f"y{c}"), (101 + c, 0, "user", f"x{c}"), (101 + c, 0, "user", f"y{c}")]
+        kept |= {100 + c, 101 + c}
+    out = format_chats(frame(spark, rows, CHAT)).collect()
+    assert {r.conv_id for r in out} == kept
+
+
 # --- op7: quality ------------------------------------------------------------------
 
 def test_quality_edge_cases(spark):
