@@ -15,6 +15,7 @@ from marketlake.llm.line_dedup import delete_repeated_runs
 from marketlake.llm.minhash import near_groups
 from marketlake.llm.mixing import mix
 from marketlake.llm.quality import quality_scores
+from marketlake.llm.quality_rules import quality_rules
 from marketlake.llm.sharding import shard_documents
 from marketlake.llm.url_filters import url_verdicts
 
@@ -77,6 +78,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_sharding": op2_sharding,
@@ -88,4 +93,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_quality_rules": op11_quality_rules,
 }

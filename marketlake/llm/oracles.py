@@ -112,7 +112,57 @@ SELECT conv_id, n AS n_turns, turn // 256 AS part,
 FROM t JOIN kept USING (conv_id) GROUP BY ALL
 """
 
+def _op11(limits: dict[int, int], line_limit: int) -> str:
+    """``limits``: length of windows -> percent of the characters they may cover."""
+    windows = ",\n".join(
+        f"      CASE WHEN i + {n - 1} <= n THEN string_agg(w, ' ') OVER "
+        f"(PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) END AS g{n}" for n in limits)
+    twice = ", ".join(f"g{n} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g{n}) > 1 AS t{n}" for n in limits)
+    covered = ", ".join(
+        f"bool_or(t{n}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS c{n}"
+        for n in limits)
+    sums = ", ".join(f"sum(length(w)) FILTER (c{n}) AS dup_chars_{n}" for n in limits)
+    longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+             *[f"dup_chars_{n}" for n in limits], "dup_line_chars"]
+    kept = " AND ".join(f"100 * dup_chars_{n} <= {limit} * word_chars" for n, limit in limits.items())
+    return rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w,
+         generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) AS i,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM t
+), g AS (
+  SELECT *,
+{windows} FROM w
+), c AS (
+  SELECT *, {twice} FROM g
+), m AS (
+  SELECT *, {covered} FROM c
+), s AS (
+  SELECT doc_id, count(*) AS n_words, sum(length(w)) AS word_chars, count(*) FILTER (c5) AS n_repeat_words, {sums}
+  FROM m GROUP BY doc_id
+), l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM t
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY p) AS seen,
+         length(regexp_replace(line, '{_WS}', '', 'g')) AS chars FROM l
+), d AS (
+  SELECT doc_id, count(*) AS n_dup_lines, sum(chars) AS dup_line_chars FROM r WHERE seen > 1 AND chars > 0 GROUP BY doc_id
+), o AS (
+  SELECT t.doc_id, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, s.* EXCLUDE (doc_id), d.* EXCLUDE (doc_id)
+  FROM t LEFT JOIN s USING (doc_id) LEFT JOIN d USING (doc_id)
+), z AS (
+  SELECT doc_id, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in longs)} FROM o
+), b AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM z
+)
+SELECT *, NOT base_failed AND 100 * dup_line_chars <= {line_limit} * word_chars AND {kept} AS kept FROM b
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_quality_rules": _op11({5: 25, 6: 24, 7: 23, 8: 22, 9: 21, 10: 20}, 30),
     "op1_line_dedup": _OP1,
     "op6_chat_formatting": _OP6,
     "op2_sharding": _OP2,

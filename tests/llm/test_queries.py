@@ -33,8 +33,8 @@ def test_native_queries_run_no_python(spark, name):
     assert not any(p in text for p in PYTHON)
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
