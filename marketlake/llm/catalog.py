@@ -17,6 +17,7 @@ from marketlake.llm.mixing import mix
 from marketlake.llm.quality import quality_scores
 from marketlake.llm.quality_rules import quality_rules
 from marketlake.llm.sharding import shard_documents
+from marketlake.llm.structure_repair import damaged, repair_conversations
 from marketlake.llm.url_filters import url_verdicts
 
 SHARDS = 16
@@ -82,6 +83,11 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_conversations(damaged(conversations), conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_sharding": op2_sharding,
@@ -94,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash": op9_minhash,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_quality_rules": op11_quality_rules,
+    "op12_structure_repair": op12_structure_repair,
 }
