@@ -14,6 +14,7 @@ from marketlake.llm.exact_dedup import exact_groups
 from marketlake.llm.line_dedup import delete_repeated_runs
 from marketlake.llm.minhash import near_groups
 from marketlake.llm.mixing import mix
+from marketlake.llm.prefix_trie import rebuilt_trie
 from marketlake.llm.quality import quality_scores
 from marketlake.llm.quality_rules import quality_rules
 from marketlake.llm.sharding import shard_documents
@@ -88,6 +89,10 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(damaged(conversations), conversations)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_sharding": op2_sharding,
@@ -101,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_quality_rules": op11_quality_rules,
     "op12_structure_repair": op12_structure_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.arrow import arrow_schema, batched
 from marketlake.llm.common import SPACES, ship_by_value, stored
 from marketlake.llm.ranges import range_shards, shard_of
 
@@ -214,28 +215,10 @@ _RESULT = ("conv_id {conv}, gaps long, blank long, duplicate long, truncated lon
            "audit string, repaired_sha256 string")
 
 
-def _arrow_schema(ddl: str):
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(ddl))
-
-
-def _batched(rows: Iterator[dict], schema: pa.Schema, size: int = 1_000) -> Iterator[pa.RecordBatch]:
-    held: list[dict] = []
-    for row in rows:
-        held.append(row)
-        if len(held) >= size:
-            yield pa.RecordBatch.from_pylist(held, schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema)
-
-
 def _pieces(symbols: DataFrame, shards: int, conv: str) -> DataFrame:
     """``symbols`` (conv_id, at, symbol, fault) -> the pieces of every shard."""
     ddl = _PIECE.format(conv=conv)
-    schema = _arrow_schema(ddl)
+    schema = arrow_schema(ddl)
 
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [part for part in parts if part.num_rows]
@@ -248,7 +231,7 @@ def _pieces(symbols: DataFrame, shards: int, conv: str) -> DataFrame:
         begins = np.flatnonzero(np.array(new))
         rows = _piece_rows([convs[i] for i in begins], at, table.column("symbol").to_numpy().astype(np.int64),
                            "".join(table.column("fault").to_pylist()), begins)
-        yield from _batched(rows, schema)
+        yield from batched(rows, schema)
 
     return (
         symbols.repartition(shards, shard_of()).sortWithinPartitions("at")
@@ -287,7 +270,7 @@ def combine(pieces: list[dict]) -> tuple[int, list[str]]:
 
 def _chosen(pieces: DataFrame, conv: str) -> DataFrame:
     ddl = _CHOSEN.format(conv=conv)
-    schema = _arrow_schema(ddl)
+    schema = arrow_schema(ddl)
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held: list[dict] = []
@@ -307,7 +290,7 @@ def _chosen(pieces: DataFrame, conv: str) -> DataFrame:
                    "cost": cost if i == 0 else 0}
 
     return pieces.repartition("conv_id").sortWithinPartitions("conv_id", "at").mapInArrow(
-        lambda parts: _batched(rows(parts), schema), ddl)
+        lambda parts: batched(rows(parts), schema), ddl)
 
 
 class _Report:
@@ -372,7 +355,7 @@ class _Report:
 
 def _reports(stream: DataFrame, conv: str) -> DataFrame:
     ddl = _RESULT.format(conv=conv)
-    schema = _arrow_schema(ddl)
+    schema = arrow_schema(ddl)
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         report = None
@@ -390,7 +373,7 @@ def _reports(stream: DataFrame, conv: str) -> DataFrame:
             yield report.result()
 
     return stream.repartition("conv_id").sortWithinPartitions("conv_id", "at", "kind").mapInArrow(
-        lambda parts: _batched(rows(parts), schema), ddl)
+        lambda parts: batched(rows(parts), schema), ddl)
 
 
 def damaged(rows: DataFrame) -> DataFrame:
