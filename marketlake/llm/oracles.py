@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from marketlake.llm.conversation_oracles import OP12, OP13
+
 # Fixed value: the white space of the contracts, as a regular expression.
 _WS = r"[\x20\x09-\x0D]"
 
@@ -162,6 +164,8 @@ SELECT *, NOT base_failed AND 100 * dup_line_chars <= {line_limit} * word_chars
 
 
 ORACLES: dict[str, str] = {
+    "op12_structure_repair": OP12,
+    "op13_prefix_trie": OP13,
     "op11_quality_rules": _op11({5: 25, 6: 24, 7: 23, 8: 22, 9: 21, 10: 20}, 30),
     "op1_line_dedup": _OP1,
     "op6_chat_formatting": _OP6,
