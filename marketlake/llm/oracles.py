@@ -7,19 +7,28 @@ from marketlake.llm.conversation_oracles import OP12, OP13
 # Fixed value: the white space of the contracts, as a regular expression.
 _WS = r"[\x20\x09-\x0D]"
 
-# Every window of three non-blank lines that occurred before is deleted.
+# Every window that occurred before is deleted: three non-blank lines, fewer that hold
+# 50 words, or all lines of a document that has less than three.
 _OP1 = rf"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p
   FROM documents
 ), f AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS i FROM l
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS i, count(*) OVER (PARTITION BY doc_id) AS n,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM l
   WHERE regexp_replace(line, '{_WS}', '', 'g') <> ''
-), w AS (
-  SELECT a.doc_id, a.i, row_number() OVER (PARTITION BY a.line, b.line, c.line ORDER BY a.doc_id, a.i) AS seen
+), v AS (
+  SELECT *, 1 AS size, [line] AS lines, words AS held FROM f
+  UNION ALL
+  SELECT a.*, 2, [a.line, b.line], a.words + b.words FROM f a JOIN f b ON b.doc_id = a.doc_id AND b.i = a.i + 1
+  UNION ALL
+  SELECT a.*, 3, [a.line, b.line, c.line], 50
   FROM f a JOIN f b ON b.doc_id = a.doc_id AND b.i = a.i + 1 JOIN f c ON c.doc_id = a.doc_id AND c.i = a.i + 2
+), w AS (
+  SELECT doc_id, i, size, row_number() OVER (PARTITION BY lines, held < 50 ORDER BY doc_id, i) AS seen
+  FROM v WHERE held >= 50 OR n = size
 ), gone AS (
-  SELECT DISTINCT f.doc_id, f.p FROM w JOIN f ON f.doc_id = w.doc_id AND f.i BETWEEN w.i AND w.i + 2 WHERE seen > 1
+  SELECT DISTINCT f.doc_id, f.p FROM w JOIN f ON f.doc_id = w.doc_id AND f.i BETWEEN w.i AND w.i + size - 1 WHERE seen > 1
 ), t AS (
   SELECT l.doc_id, count(*) AS n_lines, count(g.p) AS n_removed,
          coalesce(string_agg(l.line, chr(10) ORDER BY l.p) FILTER (WHERE g.p IS NULL), '') AS text

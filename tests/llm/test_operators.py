@@ -37,7 +37,7 @@ def as_counter(df, *columns):
 
 # --- op1: line dedup ---------------------------------------------------------------
 
-def lines_brute(docs, run):
+def lines_brute(docs, run, words=50):
     seen, out = set(), []
     for doc_id, text in sorted(docs, key=lambda d: (d[0] is None, d[0])):
         if text is None:
@@ -46,11 +46,15 @@ def lines_brute(docs, run):
         lines = text.split("\n")
         filled = [i for i, x in enumerate(lines) if x.strip(" \t\n\x0b\x0c\r")]
         gone, new = set(), []
-        for i in range(len(filled) - run + 1):
-            window = tuple(lines[p] for p in filled[i:i + run])
-            if window in seen or window in new:
-                gone.update(filled[i:i + run])
-            new.append(window)
+        for i in range(len(filled)):
+            for size in range(1, min(run, len(filled) - i) + 1):
+                window = tuple(lines[p] for p in filled[i:i + size])
+                counts = size == run or sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in window) >= words
+                if not counts and not size == len(filled) < run:
+                    continue
+                if (window, counts) in seen or (window, counts) in new:
+                    gone.update(filled[i:i + size])
+                new.append((window, counts))
         seen.update(new)
         out.append((doc_id, len(lines), len(gone), "\n".join(x for p, x in enumerate(lines) if p not in gone)))
     return Counter(out)
@@ -63,6 +67,10 @@ def test_line_dedup(spark, run):
             for i in range(60)]
     docs += [(100, None), (101, ""), (102, "\n\n"), (103, "x"), (104, "same\n" * 30), (None, "a\nb\nc\nd"),
              (105, "\n".join(f"l{i}" for i in range(3000))), (106, "\n".join(f"l{i}" for i in range(1000, 4000)))]
+    long, half = "word " * 60, "  half " * 26
+    docs += [(110, long), (111, "new\n" + long + "\nother"), (112, f"{half}\n{half}x"), (113, f"p\n{half}\n\n{half}x\nq"),
+             (114, f"{half}\np"), (115, "only\ntwo"), (116, "only\ntwo"), (117, "p\nonly\ntwo"), (118, "x"),
+             (119, f"{long}\nnext"), (120, f"{long}\nnext\nand on")]
     rows = frame(spark, [(*d, 1, "x") for d in docs], DOC + ", sum int, lines string")
     assert as_counter(delete_repeated_runs(rows, run), "doc_id", "n_lines", "n_removed", "text") == lines_brute(docs, run)
 
@@ -74,6 +82,14 @@ def test_line_dedup_of_repeated_rows_and_empty_table(spark):
     assert delete_repeated_runs(frame(spark, [], DOC)).count() == 0
 
 
+@pytest.mark.parametrize("lines", [1, 2])
+def test_long_runs_of_one_and_two_lines_go(spark, lines):
+    passage = "\n".join(" ".join(f"w{k}x{i}" for i in range(200 // lines)) for k in range(lines))
+    out = delete_repeated_runs(frame(spark, [(1, passage), (2, "own\n" + passage), (3, passage)], DOC))
+    assert as_counter(out, "doc_id", "n_removed", "text") == Counter(
+        {(1, 0, passage): 1, (2, lines, "own"): 1, (3, lines, ""): 1})
+
+
 # --- op2: sharding -----------------------------------------------------------------
 
 def jump(key, shards):
