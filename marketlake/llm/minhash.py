@@ -262,11 +262,34 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents of ``docs`` that ``near_groups`` keeps, with all their columns:
-    of each group the one with the smallest doc_id."""
-    dropped = stored(docs.sparkSession, near_groups(docs, size, percent).where("not kept").select(
-        F.col("doc_id").alias("_x_id")).distinct(), "minhash-dropped")
-    return docs.join(dropped, docs["doc_id"] == F.col("_x_id"), "left_anti")
+    """The documents of ``docs`` that stay, with all their columns: of each group of near
+    copies the one with the smallest doc_id (a null one comes last).
+
+    Groups are made of texts, not of doc_ids: a row goes only for its own text, whatever
+    other rows share its doc_id. Rows that repeat both doc_id and text are one document
+    and stay or go together. Texts without words are linked with nothing and stay. A
+    text's node is a 64-bit hash of it."""
+    spark = docs.sparkSession
+    node = F.xxhash64(docs["text"])
+    groups = stored(spark, (
+        near_groups(docs.select(node.alias("doc_id"), docs["text"].alias("text")), size, percent).where("n_shingles > 0")
+        .select(F.col("doc_id").alias("_x_node"), "component_id").distinct()
+    ), "minhash-groups")
+    row = F.struct(F.col("_x_id").isNull().alias("none"), F.col("_x_id").alias("id"), F.col("_x_node").alias("node"))
+    members = stored(spark, (
+        docs.select(docs["doc_id"].alias("_x_id"), node.alias("_x_node")).distinct()
+        .join(groups.hint("merge"), "_x_node").select("component_id", row.alias("row"))
+    ), "minhash-members")
+    stays = stored(spark, (
+        members.groupBy("component_id").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+        .where("first <> last").drop("last")
+    ), "minhash-stays")
+    dropped = (
+        members.join(stays.hint("merge"), "component_id").where("row <> first")
+        .select(F.col("row.id").alias("_x_id"), F.col("row.node").alias("_x_node"))
+    )
+    dropped = stored(spark, dropped, "minhash-dropped").hint("merge")
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("_x_id")) & (node == F.col("_x_node")), "left_anti")
 
 
 def _least_equal(percent: int) -> int:

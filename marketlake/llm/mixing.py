@@ -172,20 +172,41 @@ def mix(docs: DataFrame, entropy_share: float = 0.95, repetition_limit: float =
 
 def mixed_documents(docs: DataFrame, entropy_share: float = 0.95, repetition_limit: float = 2.0) -> DataFrame:
     """``docs`` with every document as often as the mixture places it, all columns
-    kept. Rows that repeat source, doc_id and text appear as often as all of them
-    together are placed."""
+    kept. Rows that repeat source, doc_id and text together appear as often as all of
+    them are placed: each its even share, the first ones once more where it leaves a
+    remainder."""
     spark = docs.sparkSession
+    key = ["_x_source", "_x_id", "_x_sum"]
     times = stored(spark, (
         mix(docs, entropy_share, repetition_limit)
         .groupBy(F.col("source").alias("_x_source"), F.col("doc_id").alias("_x_id"), F.col("sum").alias("_x_sum"))
         .agg(F.count(F.lit(1)).alias("_x_placed"), F.countDistinct("copy").alias("_x_rows"))
     ), "mix-times")
     text = F.coalesce(F.col("text"), F.lit(""))
-    # One row of `n` equal rows stands for its even share of the placements.
-    share = F.ceil(F.col("_x_placed") / F.col("_x_rows")).cast("int")
-    return (
-        docs.join(times, docs["source"].eqNullSafe(F.col("_x_source")) & docs["doc_id"].eqNullSafe(F.col("_x_id"))
-                  & (F.xxhash64(text) == F.col("_x_sum")))
-        .withColumn("_x_at", F.explode(F.sequence(F.lit(1), share)))
-        .select(*[docs[c] for c in docs.columns])
+    columns = [docs[c] for c in docs.columns]
+    same = docs["source"].eqNullSafe(F.col("_x_source")) & docs["doc_id"].eqNullSafe(F.col("_x_id")) & (
+        F.xxhash64(text) == F.col("_x_sum"))
+    single = (
+        docs.join(times.where("_x_rows = 1"), same)
+        .withColumn("_x_at", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_x_placed")))).select(*columns)
+    )
+    # Equal rows are numbered where they were written, task by task, so that many of
+    # them are not one task's.
+    names = [f"_x_c{i}" for i in range(len(docs.columns))]
+    repeated = stored(spark, docs.join(times.where("_x_rows > 1"), same).select(
+        *[c.alias(n) for c, n in zip(columns, names)], *key, "_x_placed", "_x_rows",
+        F.monotonically_increasing_id().alias("_x_at")), "mix-repeated").withColumn(
+        "_x_task", F.shiftrightunsigned("_x_at", 33))
+    earlier = Window.partitionBy(*key).orderBy("_x_task").rowsBetween(Window.unboundedPreceding, -1)
+    begun = stored(spark, repeated.groupBy(*key, "_x_task").agg(F.count(F.lit(1)).alias("c")).select(
+        *[F.col(k).alias(f"{k}_") for k in [*key, "_x_task"]], F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("_x_before")),
+        "mix-begun")
+    number = F.row_number().over(Window.partitionBy(*key, "_x_task").orderBy("_x_at")) - 1 + F.col("_x_before")
+    share = F.floor(F.col("_x_placed") / F.col("_x_rows")) + F.when(number < F.col("_x_placed") % F.col("_x_rows"), 1).otherwise(0)
+    on = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in [*key, "_x_task"]]
+    dealt = (
+        repeated.join(begun, on[0] & on[1] & on[2] & on[3]).withColumn("_x_share", share).where("_x_share > 0")
+        .withColumn("_x_at", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_x_share"))))
+        .select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
     )
+    return single.unionByName(dealt)
