@@ -23,6 +23,7 @@ from marketlake.functions.columns import fill_nulls, enforce_types
 from marketlake.operators import maintenance
 from marketlake.operators.gold import daily_dimension, hourly_fact
 from marketlake.operators.gold_views import Gold
+from marketlake.operators.quality import layer_counts
 from marketlake.operators.silver import silver_from_bronze
 from marketlake.plans.jobs import LayerPaths, open_gold, run_collection_cycle, run_day, run_vacuum
 from marketlake.schema import (
@@ -359,19 +360,7 @@ def q_maint_file_stats(spark, sf_dir):
 
 
 def q_quality_row_counts(spark, sf_dir):
-    t = _ticks(spark, sf_dir)
-    silver = silver_from_bronze(t)
-    parts = [
-        ("bronze", t),
-        ("silver", silver),
-        ("fact", hourly_fact(silver)),
-        ("dimension", daily_dimension(silver)),
-    ]
-    out = None
-    for layer, df in parts:
-        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(layer).alias("layer"), "rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return layer_counts(_ticks(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

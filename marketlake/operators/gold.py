@@ -11,6 +11,33 @@ from marketlake.schema import DIMENSION_COLUMNS, FACT_KEYS, PAYLOAD_FIELDS, PROC
 from marketlake.sources.bronze import filter_dates
 
 
+def fact_aggregates() -> list[Column]:
+    """The aggregates of one asset-hour."""
+    price = F.col("current_price")
+    return [
+        F.count(F.lit(1)).alias("total_registros"),
+        F.avg(price).alias("preco_medio"),
+        F.min(price).alias("preco_min"),
+        F.max(price).alias("preco_max"),
+        F.stddev_samp(price).alias("preco_desvio"),
+        F.avg("market_cap").alias("market_cap_medio"),
+        F.avg("total_volume").alias("volume_medio"),
+        F.avg("price_change_24h").alias("variacao_24h_media"),
+        F.avg("price_change_percentage_24h").alias("variacao_pct_24h_media"),
+        F.max("high_24h").alias("high_24h"),
+        F.min("low_24h").alias("low_24h"),
+    ]
+
+
+def derived_measures(aggregated: DataFrame, clock: Column | None = None) -> DataFrame:
+    """Spread, relative volatility and processing time of aggregated asset-hours."""
+    return (
+        aggregated.withColumn("spread_24h", spread("high_24h", "low_24h"))
+        .withColumn("volatilidade_relativa", relative_volatility("preco_desvio", "preco_medio"))
+        .withColumn(PROCESSED_AT, processed_at(clock))
+    )
+
+
 def hourly_fact(df: DataFrame, clock: Column | None = None) -> DataFrame:
     """Per (id, symbol, name, dt, hour): count, price mean/min/max/sample stddev,
     means of cap, volume and both 24 h changes, 24 h extremes, spread and
@@ -19,26 +46,7 @@ def hourly_fact(df: DataFrame, clock: Column | None = None) -> DataFrame:
 
     Takes any grain: over deduplicated Silver every group has one row (stddev
     null); over raw ticks the statistics are meaningful."""
-    price = F.col("current_price")
-    return (
-        df.groupBy(*FACT_KEYS)
-        .agg(
-            F.count(F.lit(1)).alias("total_registros"),
-            F.avg(price).alias("preco_medio"),
-            F.min(price).alias("preco_min"),
-            F.max(price).alias("preco_max"),
-            F.stddev_samp(price).alias("preco_desvio"),
-            F.avg("market_cap").alias("market_cap_medio"),
-            F.avg("total_volume").alias("volume_medio"),
-            F.avg("price_change_24h").alias("variacao_24h_media"),
-            F.avg("price_change_percentage_24h").alias("variacao_pct_24h_media"),
-            F.max("high_24h").alias("high_24h"),
-            F.min("low_24h").alias("low_24h"),
-        )
-        .withColumn("spread_24h", spread("high_24h", "low_24h"))
-        .withColumn("volatilidade_relativa", relative_volatility("preco_desvio", "preco_medio"))
-        .withColumn(PROCESSED_AT, processed_at(clock))
-    )
+    return derived_measures(df.groupBy(*FACT_KEYS).agg(*fact_aggregates()), clock)
 
 
 def daily_dimension(

@@ -42,7 +42,7 @@ top AS (SELECT * FROM cur ORDER BY market_cap_rank ASC NULLS LAST, id LIMIT 20),
 top40 AS (SELECT * FROM cur ORDER BY market_cap_rank ASC NULLS LAST, id LIMIT 40)"""
 
 
-def _fact(src: str) -> str:
+def fact_sql(src: str) -> str:
     return f"""SELECT id, symbol, name, dt, hour,
        count(*) AS total_registros,
        round(avg(current_price), 6) AS preco_medio,
@@ -63,7 +63,7 @@ FROM {src} GROUP BY id, symbol, name, dt, hour"""
 
 
 def _series(cols: str, symbol: str = "'s0'") -> str:
-    return f"""WITH {TICKS}, fact AS ({_fact('ticks')})
+    return f"""WITH {TICKS}, fact AS ({fact_sql('ticks')})
 SELECT id, symbol, dt, hour, {cols} FROM fact WHERE symbol = {symbol}"""
 
 
@@ -102,8 +102,8 @@ SELECT id, symbol, name, market_cap_rank, {cols}, ingestion_ts FROM nulled"""
 
 ORACLES: dict[str, str] = {
     "silver_dedup": f"WITH {TICKS}, {SILVER} SELECT * FROM silver",
-    "gold_hourly_fact_silver": f"WITH {TICKS}, {SILVER} {_fact('silver')}",
-    "gold_hourly_fact_ticks": f"WITH {TICKS} {_fact('ticks')}",
+    "gold_hourly_fact_silver": f"WITH {TICKS}, {SILVER} {fact_sql('silver')}",
+    "gold_hourly_fact_ticks": f"WITH {TICKS} {fact_sql('ticks')}",
     "gold_daily_dimension": f"WITH {TICKS}, {SILVER}, {DIM} SELECT * FROM dim",
     "silver_typing": _typed_from_text(),
     "serve_top_n": f"WITH {TICKS}, {SILVER}, {DIM} SELECT * FROM top",
@@ -140,9 +140,9 @@ SELECT {PAYLOAD}, fetched AS ingestion_ts, CAST(fetched AS DATE) AS dt,
 FROM (SELECT *, max(ingestion_ts) OVER (PARTITION BY event_id // 250) AS fetched FROM ticks)""",
     "silver_publish_roundtrip": f"WITH {TICKS}, {SILVER} SELECT * FROM silver",
     "silver_daily_filter": f"WITH {TICKS}, {SILVER} SELECT * FROM silver WHERE dt = DATE '2024-01-15'",
-    "gold_publish_roundtrip": f"WITH {TICKS}, {SILVER} {_fact('silver')}",
+    "gold_publish_roundtrip": f"WITH {TICKS}, {SILVER} {fact_sql('silver')}",
     "gold_dimension_roundtrip": f"WITH {TICKS}, {SILVER}, {DIM} SELECT * FROM dim",
-    "daily_job_run": f"WITH {TICKS}, {SILVER} SELECT *, TRUE AS healthy, 0 AS orphans FROM ({_fact('silver')})",
+    "daily_job_run": f"WITH {TICKS}, {SILVER} SELECT *, TRUE AS healthy, 0 AS orphans FROM ({fact_sql('silver')})",
     "maint_compact": f"WITH {TICKS} SELECT {PAYLOAD}, ingestion_ts, dt, hour, TRUE AS fewer_files FROM ticks",
     "maint_vacuum": f"WITH {TICKS} SELECT 'old export/dt=' || dt AS folder, 1 AS files FROM ticks GROUP BY dt",
     "maint_file_stats": f"WITH {TICKS} SELECT dt, count(*) AS rows, TRUE AS sound FROM ticks GROUP BY dt",

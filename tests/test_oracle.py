@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_mod
-from marketlake.catalog import QUERIES
-from marketlake.oracles import ORACLES
+from marketlake import catalog, catalog_events, oracles, oracles_events
 from tests.conftest import SF_CHECK, SF_SMALL
 from tools.oracle_check import duck, rows_key
 
+QUERIES = catalog.QUERIES | catalog_events.QUERIES
+ORACLES = oracles.ORACLES | oracles_events.ORACLES
 NAMES = sorted(QUERIES)
 
 
