@@ -36,7 +36,7 @@ from marketlake.schema import (
     SILVER_SCHEMA,
     BATCH_ID,
 )
-from marketlake.session import configure, path_exists, scratch_dir
+from marketlake.session import configure, file_system, path_exists, scratch_dir
 from marketlake.sinks.writers import append_bronze, compact, publish
 from marketlake.sources.bronze import pack_pages, page_key_by_sequence, explode_pages, read_bronze
 from marketlake.sources.ndjson import read_ndjson
@@ -122,16 +122,23 @@ def q_silver_typing(spark, sf_dir):
 
 # --- Serving -------------------------------------------------------------------
 
-# Gold warehouses published by this process, by application and input folder.
-_PUBLISHED: dict[tuple[str, str], LayerPaths] = {}
+# Gold warehouses published by this process, by application, input folder and version.
+_PUBLISHED: dict[tuple[str, str, str], LayerPaths] = {}
+
+
+def _version(spark, path: str) -> str:
+    """What tells one state of a table's files from another: names, sizes and times."""
+    fs, place = file_system(spark, path)
+    files = fs.listStatus(place) if fs.exists(place) else []
+    return "|".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in files))
 
 
 def _gold(spark, sf_dir) -> Gold:
-    """The Gold tables of ``sf_dir``, published once per application: the
-    dimension from Silver, the fact at tick grain (its hourly statistics are
+    """The Gold tables of ``sf_dir``, published once per application and state of the
+    input: the dimension from Silver, the fact at tick grain (its hourly statistics are
     non-degenerate)."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, _version(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     paths = _PUBLISHED.get(key)
     if paths is None or not path_exists(spark, paths.dimension):
         paths = LayerPaths(scratch_dir(spark, "gold"))

@@ -27,12 +27,12 @@ FILES_PER_TASK = 10_000
 
 def store_candidates(found: DataFrame, path: str) -> DataFrame:
     """Write a vacuum's candidates to ``path`` and read them back."""
-    found.select("file_path", "modified_at", "size_bytes").write.mode("overwrite").parquet(path)
+    found.select("file_path", "modified_at", "size_bytes").write.mode("overwrite").json(path)
     return read_candidates(found.sparkSession, path)
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CANDIDATE_SCHEMA).parquet(path)
+    return spark.read.schema(CANDIDATE_SCHEMA).json(path)
 
 
 def _delete(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

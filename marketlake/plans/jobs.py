@@ -40,10 +40,10 @@ from marketlake.schema import (
     BRONZE_TABLE,
     TRIGGER_INTERVAL,
 )
-from marketlake.session import child_folders, configure, path_exists, qualified
+from marketlake.session import configure, path_exists, qualified
 from marketlake.sinks.rewrite import recover
-from marketlake.sinks.writers import append_bronze, compact, publish, write_ndjson
-from marketlake.sources.bronze import explode_pages, read_bronze
+from marketlake.sinks.writers import append_bronze, compact, fold_bronze, publish, write_ndjson
+from marketlake.sources.bronze import days_present, explode_pages, read_bronze, untimed_rows
 from marketlake.sources.tables import read_table
 from marketlake.functions.columns import fill_nulls, ingestion_metadata, retention_cutoff
 
@@ -96,11 +96,12 @@ def run_silver(
     """Bronze (JSON, given days) -> typed, deduplicated Silver (Parquet by dt).
 
     Returns counts before / after de-duplication, observed during the write.
-    A day with no Bronze data is a no-op."""
+    A day with no Bronze data is a no-op. Rows without a time have no day and are
+    left out (``sources.bronze.untimed_rows``)."""
     configure(spark)
     raw = read_bronze(spark, paths.bronze, dates)
     before, after = Observation("silver_in"), Observation("silver_out")
-    raw = raw.observe(before, F.count(F.lit(1)).alias("rows"))
+    raw = raw.observe(before, F.count(F.lit(1)).alias("rows")).where(F.col("dt").isNotNull())
     silver = silver_from_bronze(raw, clock).observe(after, F.count(F.lit(1)).alias("rows"))
     publish(silver, paths.silver, ("dt",), mode="dynamic")
     counts = {"bronze_rows": _metrics(before).get("rows", 0), "silver_rows": _metrics(after).get("rows", 0)}
@@ -236,14 +237,23 @@ def run_day(
     compact_tables: bool = True,
     now: _dt.datetime | None = None,
     retention_days: int = RETENTION_DAYS,
+    fold_before: str | None = None,
 ) -> dict:
     """The daily sequence: Silver -> Gold -> compaction -> vacuum on Sundays.
 
     ``dates`` may be one day, several (a backfill in one pass per layer) or None:
-    every day that Bronze holds."""
+    every day that Bronze holds. ``untimed_rows`` of the report counts the Bronze rows
+    without a time, which no day holds. ``fold_before`` names the day from which on the
+    stream may still replay a batch: of the ``dates`` before it, the batch folders that
+    the stream left in Bronze are folded into one per hour first."""
     if dates is None:
-        dates = [d[3:] for d in child_folders(spark, paths.bronze) if d.startswith("dt=")]
-    report = {"silver": run_silver(spark, paths, dates, clock)}
+        dates = days_present(spark, paths.bronze)
+    report = {}
+    if fold_before is not None:
+        closed = [d for d in ([dates] if isinstance(dates, str) else dates) if d < fold_before]
+        report["folded_hours"] = fold_bronze(spark, paths.bronze, closed)
+    report["silver"] = run_silver(spark, paths, dates, clock)
+    report["untimed_rows"] = untimed_rows(spark, paths.bronze).count()
     report["gold"] = run_gold(spark, paths, dates, clock, fact_input)
     if compact_tables:
         report["compaction"] = run_compaction(spark, paths)
@@ -295,14 +305,18 @@ def run_ingest(
     null_policy: str = "zero",
     available_now: bool = False,
     interval: str = TRIGGER_INTERVAL,
+    progress: str | None = None,
+    stop_marker: str | None = None,
 ):
     """Stream landed page bodies (one file each) into Bronze until stopped, or,
-    with ``available_now``, until all that has landed is in."""
+    with ``available_now``, until all that has landed is in. ``progress`` is a table of
+    what each micro-batch did; a file at ``stop_marker`` ends the stream after the
+    micro-batch that is running."""
     from marketlake.sources.stream import page_stream
     from marketlake.streaming.bronze_ingest import start_bronze_stream
+    from marketlake.streaming.progress import run_until_stopped
 
     configure(spark)
-    query = start_bronze_stream(
-        page_stream(spark, landing), paths.bronze, checkpoint, null_policy, available_now, interval)
-    query.awaitTermination()
-    return query
+    return run_until_stopped(spark, lambda: start_bronze_stream(
+        page_stream(spark, landing), paths.bronze, checkpoint, null_policy, available_now, interval),
+        progress or f"{checkpoint.rstrip('/')}__progress", stop_marker)

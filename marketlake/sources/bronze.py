@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from marketlake.schema import BRONZE_SCHEMA, PAGE_SIZE, PAYLOAD_FIELDS, PAYLOAD_SCHEMA
-from marketlake.session import path_exists
+from marketlake.session import child_folders, path_exists
 
 PAGE_ARRAY = ArrayType(PAYLOAD_SCHEMA)
 
@@ -97,6 +97,25 @@ def read_bronze(
     return reader.option("basePath", base).json(days)
 
 
+#: Folder of the rows without a time: no day holds them.
+UNTIMED = "dt=__HIVE_DEFAULT_PARTITION__"
+
+
+def days_present(spark: SparkSession, base: str) -> list[str]:
+    """The days that the Bronze layer holds, from its folders. Rows without a time
+    belong to no day (see ``untimed_rows``)."""
+    return [d[3:] for d in child_folders(spark, base) if d.startswith("dt=") and d != UNTIMED]
+
+
+def untimed_rows(spark: SparkSession, base: str) -> DataFrame:
+    """The Bronze rows whose time is missing or unreadable. They are written beside the
+    days by the same append, so a replay replaces them too; no daily job reads them."""
+    folder = f"{base.rstrip('/')}/{UNTIMED}"
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    return spark.read.schema(BRONZE_SCHEMA).option("basePath", base).json(folder)
+
+
 def filter_dates(df: DataFrame, dates: str | list[str] | None, col: str = "dt") -> DataFrame:
     if dates is None:
         return df
