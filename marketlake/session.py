@@ -119,6 +119,23 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+def note(spark: SparkSession, folder: str, name: str) -> None:
+    """Leave an empty file ``name`` in ``folder`` in place of those that are there."""
+    fs, hpath = file_system(spark, folder)
+    _, mark = file_system(spark, f"{folder}/{name}")
+    before = [s.getPath() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+    fs.create(mark, True).close()
+    for path in before:
+        if path.getName() != name:
+            fs.delete(path, False)
+
+
+def notes(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files that ``note`` has left in ``folder``."""
+    fs, hpath = file_system(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder; the target must not exist."""
     fs, src = file_system(spark, source)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from marketlake.schema import BATCH_ID
-from marketlake.session import SESSION_SETTINGS, child_folders
+from marketlake.session import SESSION_SETTINGS, child_folders, note, notes
 from marketlake.sinks.rewrite import recover, rewrite_folders
 from marketlake.sources.ndjson import NDJSON_TIMESTAMP_FORMAT
 
@@ -52,6 +52,11 @@ def publish(
     writer.mode("overwrite").option("partitionOverwriteMode", overwrite).parquet(path)
 
 
+# Holds the number of the last batch that a Bronze append has begun; the leading
+# underscore hides it from table scans and from the file inventory.
+BEGUN = "_last_batch"
+
+
 def append_bronze(
     df: DataFrame,
     base: str,
@@ -60,19 +65,29 @@ def append_bronze(
 ) -> int:
     """Append snapshot rows to the Bronze JSON layer, partitioned by dt/hour/batch_id.
 
-    Rows go to their own ``batch_id=<n>`` partition under dynamic overwrite, so
-    replaying a batch replaces its earlier output instead of duplicating it (the
-    stream sink is at-least-once). Micro-batches of a stream are numbered from 0;
-    an append without a ``batch_id`` takes a fresh negative number, so batch and
-    stream share one layout and one layer. Returns the number used."""
+    Rows go to their own ``batch_id=<n>`` partition, so replaying a batch replaces its
+    earlier output instead of duplicating it (the stream sink is at-least-once).
+    Micro-batches of a stream are numbered from 0; an append without a ``batch_id``
+    takes a fresh negative number, so batch and stream share one layout and one layer.
+    Returns the number used.
+
+    A fresh number, and a micro-batch beyond the last one that was begun, have nothing
+    to replace and are appended, which spares the file system a rename per partition.
+    All others are written with dynamic partition overwrite."""
     from pyspark.sql import functions as F
 
-    if batch_id is None:
+    spark, begun = df.sparkSession, f"{base.rstrip('/')}/{BEGUN}"
+    fresh = batch_id is None
+    if fresh:
         batch_id = -1 - (uuid.uuid4().int >> 66)
+    elif batch_id >= 0:
+        fresh = all(int(n) < batch_id for n in notes(spark, begun))
+        if fresh:
+            note(spark, begun, str(int(batch_id)))
     df = df.withColumn(BATCH_ID, F.lit(int(batch_id)).cast("long"))
+    writer = _rebalanced(df, partition_by).write.mode("append" if fresh else "overwrite")
     (
-        _rebalanced(df, partition_by).write.mode("overwrite")
-        .option("timestampFormat", JSON_TIMESTAMP_FORMAT)
+        writer.option("timestampFormat", JSON_TIMESTAMP_FORMAT)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by, BATCH_ID)
         .json(base)

@@ -105,3 +105,23 @@ def test_views_see_changed_input(spark, tmp_root):
     assert "s0" not in {r.symbol for r in symbols(spark, tmp_root).collect()}
     events.write.mode("overwrite").parquet(f"{tmp_root}/events.parquet")
     assert "s0" in {r.symbol for r in symbols(spark, tmp_root).collect()}
+
+
+def test_batches_are_appended_once_and_replaced_when_replayed(spark, tmp_root):
+    def append(price, batch_id):
+        df = frame(spark, [snap(i=f"b{batch_id}", price=price, ts=dt.datetime(2024, 1, 14, h)) for h in (10, 11)], with_partitions=False)
+        append_bronze(prepare_bronze(df), tmp_root, batch_id=batch_id)
+
+    append(1.0, 0)
+    append(1.0, 1)
+    local = tmp_root.replace("file:", "")
+    # A driver that was lost while batch 2 was written left part of its output.
+    append(9.0, 2)
+    os.remove(next(f"{d}/{f}" for d, _, fs in os.walk(f"{local}/dt=2024-01-14/hour=10/batch_id=2") for f in fs if f.endswith(".json")))
+    append(2.0, 2)
+    append(3.0, 1)  # a replay of an earlier batch
+    append(4.0, -3)
+    append(5.0, -3)
+    rows = sorted((r.id, r.hour, r.current_price) for r in read_bronze(spark, tmp_root).collect())
+    assert rows == sorted((i, h, p) for i, p in [("b-3", 5.0), ("b0", 1.0), ("b1", 3.0), ("b2", 2.0)] for h in (10, 11))
+    assert os.listdir(f"{local}/_last_batch").count("2") == 1
