@@ -2,11 +2,11 @@
 
 Three rounds, each narrower than the one before: rows are grouped by the length
 of the normalised text, then by (length, hash of a prefix), and only rows whose
-group still has company have their full content hashed. The first two rounds
-move a few bytes per row. Group sizes are counts with a map-side partial
-aggregate, so a group that holds a third of all rows costs one row per task;
-the joins that bring a group's fate back to its rows are plain equi-joins that
-AQE splits when one key is hot.
+group still has company are grouped by the full hash; all others are unique. Every
+text is read once, where it lies, and only lengths and hashes are moved. Group
+sizes are counts with a map-side partial aggregate, so a group that holds a third
+of all rows costs one row per task; the joins that bring a group's fate back to its
+rows are plain equi-joins that AQE splits when one key is hot.
 """
 
 from __future__ import annotations
@@ -20,31 +20,29 @@ from marketlake.llm.common import stored, without_spaces
 PREFIX_CHARS = 256
 
 
-def refine(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``full_hash``: SHA-256 of the normalised text (lowercase hex) for rows
-    that share length and prefix hash with another row, null for all others,
-    whose text is unique. Other columns pass through; the added working columns
-    have names that begin with ``_x_``."""
-    normal = without_spaces(F.col(text))
-    keyed = docs.withColumns({
-        "_x_len": F.length(normal),
-        "_x_prefix": F.xxhash64(F.substring(normal, 1, PREFIX_CHARS)),
-    })
-    short = keyed.select("_x_len", "_x_prefix")
-    spark = docs.sparkSession
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, code points of the text, and what the rounds compare: length, prefix hash
+    and full hash of the normalised text. The text itself is not carried on, so no round
+    moves more than these few bytes a row."""
+    normal = without_spaces(F.col("text"))
+    return docs.select(
+        "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("_x_chars"), F.length(normal).alias("_x_len"),
+        F.xxhash64(F.substring(normal, 1, PREFIX_CHARS)).alias("_x_prefix"), F.sha2(normal, 256).alias("text_sha256"))
+
+
+def refine(rows: DataFrame) -> DataFrame:
+    """The rows of ``measured`` texts that share length and prefix hash with another
+    one, with ``full_hash``; all others are unique texts and are left out."""
+    spark = rows.sparkSession
+    short = rows.select("_x_len", "_x_prefix")
     by_length = stored(spark, short.groupBy("_x_len").count().where("count > 1").select("_x_len"), "exact-lengths")
     by_prefix = stored(spark, (
         short.join(by_length, "_x_len", "left_semi")
-        .groupBy("_x_prefix", "_x_len").count().where("count > 1")
-        .select("_x_len", "_x_prefix", F.lit(True).alias("_x_shared"))
+        .groupBy("_x_prefix", "_x_len").count().where("count > 1").select("_x_len", "_x_prefix")
     ), "exact-prefixes")
     # A sort-merge join by hint: the table of shared prefixes grows with the documents,
     # and so the plan is the same at every size.
-    return (
-        keyed.join(by_prefix.hint("merge"), ["_x_len", "_x_prefix"], "left")
-        .withColumn("full_hash", F.when(F.col("_x_shared"), F.sha2(normal, 256)))
-        .drop("_x_len", "_x_prefix", "_x_shared")
-    )
+    return rows.join(by_prefix.hint("merge"), ["_x_len", "_x_prefix"]).withColumn("full_hash", F.col("text_sha256"))
 
 
 def keepers(rows: DataFrame, group: str) -> DataFrame:
@@ -72,26 +70,23 @@ def exact_groups(docs: DataFrame) -> DataFrame:
       first of them can be kept, the others are dropped.
     - Other columns of ``docs`` are not read.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    refined = stored(docs.sparkSession, refine(docs.select("doc_id", text.alias("text"))).select(
-        "doc_id", F.length("text").alias("_x_chars"),
-        F.coalesce("full_hash", F.sha2(without_spaces(F.col("text")), 256)).alias("text_sha256"),
-    ), "exact-hashes")
-    # Repeated rows travel as one row and a count.
-    rows = refined.groupBy("text_sha256", "doc_id", "_x_chars").agg(F.count(F.lit(1)).alias("_x_n"))
+    spark = docs.sparkSession
+    rows = stored(spark, measured(docs), "exact-hashes")
+    refined = stored(spark, refine(rows), "exact-refined")
+    # Only texts with company are grouped; repeated rows travel as one row and a count.
+    counted = refined.groupBy("full_hash", "doc_id", "_x_chars").agg(F.count(F.lit(1)).alias("_x_n"))
+    groups = stored(spark, keepers(counted, "full_hash"), "exact-keepers")
     first = (F.col("at") == 0) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (
         F.col("_x_chars") == F.col("keep_chars"))
-    return (
-        rows.join(stored(docs.sparkSession, keepers(rows, "text_sha256"), "exact-keepers"), "text_sha256", "left")
+    copies = (
+        counted.join(groups.hint("merge"), "full_hash")
         .withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_x_n") - 1)))
-        .select(
-            "doc_id",
-            F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-            F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-            F.when(F.col("group_size").isNull(), F.lit(True)).otherwise(first).alias("kept"),
-            "text_sha256",
-        )
+        .select("doc_id", "keep_id", "group_size", first.alias("kept"), F.col("full_hash").alias("text_sha256"))
     )
+    alone = rows.join(groups.hint("merge"), F.col("text_sha256") == F.col("full_hash"), "left_anti").select(
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"),
+        "text_sha256")
+    return copies.unionByName(alone)
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
@@ -100,10 +95,8 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     document and stay or go together; rows of another group, whatever their doc_id
     and length, are not touched. A null doc_id is a value like any other."""
     chars = F.coalesce(F.length("text"), F.lit(0))
-    candidates = stored(docs.sparkSession, (
-        refine(docs.select("doc_id", "text")).where("full_hash is not null")
-        .select("full_hash", "doc_id", chars.alias("_x_chars"), F.lit(1).alias("_x_n"))
-    ), "exact-candidates")
+    candidates = stored(docs.sparkSession, refine(stored(docs.sparkSession, measured(docs), "exact-hashes")).select(
+        "full_hash", "doc_id", "_x_chars", F.lit(1).alias("_x_n")), "exact-candidates")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_x_chars") == F.col("keep_chars"))
     dropped = (
         candidates.join(stored(docs.sparkSession, keepers(candidates, "full_hash"), "exact-keepers"), "full_hash")
