@@ -56,7 +56,8 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    values = ", ".join("('{}', '{}', '{}')".format(*rule) for rule in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 

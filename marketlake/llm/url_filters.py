@@ -122,7 +122,8 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow") ->
     )
     best = stored(pages.sparkSession, hits.groupBy("url").agg(F.min(order).alias("best")), "url-rules")
     return (
-        pages.join(best, "url", "left")
+        # A sort-merge join by hint: the table of hit URLs grows with the pages.
+        pages.join(best.hint("merge"), "url", "left")
         .select(
             "page_id",
             F.coalesce(url_host(F.col("url")), F.lit("")).alias("host"),
