@@ -19,7 +19,8 @@ into shards that fit a task:
 5. The found links are audited against brute force over all rows for a bounded
    sample of queries, by link and by vector, so that a large group cannot hide lost
    pairs; under ``TARGET`` in either, the work is dealt again with one more cell a
-   vector at every split and searched with a wider beam.
+   vector at every split and searched with a wider beam, and after ``WIDENINGS`` such
+   rounds all pairs of a label are compared in blocks.
 
 A shard returns a count of links and a spanning forest, never the pairs: a pair
 that several shards hold is counted in one of them only.
@@ -185,23 +186,27 @@ def _padded(rows: pd.Series, filler: int) -> np.ndarray:
     return out
 
 
-def _shard_links(key: tuple, frame: pd.DataFrame, least: float, beam: int) -> pd.DataFrame:
+def _shard_links(key: tuple, frame: pd.DataFrame, least: float, beam: int | None) -> pd.DataFrame:
     """Links between two parts of a cell (or inside one): for every vector with a
-    link its number of new links and its smallest linked vector."""
+    link its number of new links and its smallest linked vector. Without a ``beam``
+    all pairs are compared."""
     cell, low, high = (int(k) for k in key)
     frame = frame.sort_values("node")
     raw = _matrix(frame["embedding"])
     x = _unit(raw).astype(np.float32)
     ids, size, own = (frame[c].to_numpy() for c in ("node", "copies", "part"))
-    near = frame["near"].tolist()
+    near = frame["near"].tolist() if beam is not None else []
     one, two = np.flatnonzero(own == low), np.flatnonzero(own == high)
     if not len(one) or not len(two):
         return pd.DataFrame({"node": [], "links": [], "lowest": []}, dtype=np.int64)
-    hits = _found(x[two], _local_graph(ids[two], [near[i] for i in two]), x[one], least, beam)
+    if beam is None:
+        hits = x[one] @ x[two].T >= np.float32(least - 1e-5)
+    else:
+        hits = _found(x[two], _local_graph(ids[two], [near[i] for i in two]), x[one], least, beam)
     if low == high:
         hits |= hits.T
         hits = np.triu(hits, 1)
-    else:
+    elif beam is not None:
         hits |= _found(x[one], _local_graph(ids[one], [near[i] for i in one]), x[two], least, beam).T
     q, to = np.nonzero(hits)
     q, to = one[q], two[to]
@@ -230,7 +235,7 @@ def _shard_links(key: tuple, frame: pd.DataFrame, least: float, beam: int) -> pd
     })
 
 
-def _linker(least: float, beam: int):
+def _linker(least: float, beam: int | None):
     def link(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         return _shard_links(key, frame, least, beam)
 
@@ -386,11 +391,27 @@ def _dealt(classes: DataFrame, overlap: int) -> DataFrame:
     cells = placed.groupBy("node").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
     nodes = stored(spark, shards.join(graph, "node").join(cells, "node").select(
         "cell", "parts", "part", "node", "embedding", "copies", "near", "cells"), "embedding-graph")
+    return _part_pairs(nodes)
+
+
+def _part_pairs(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({
         "low": F.least("part", "other"), "high": F.greatest("part", "other"),
     }).drop("other", "parts")
 
 
+def _every_pair(classes: DataFrame) -> DataFrame:
+    """Every pair of parts of a whole label: the exact way, whose work grows with the
+    square of a label's vectors, in blocks of two parts."""
+    sizes = stored(classes.sparkSession, classes.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "embedding-labels")
+    nodes = (
+        classes.join(sizes, "cell").withColumn("parts", F.ceil(F.col("size") / SHARD_ROWS).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .select("cell", "parts", "part", "node", "embedding", "copies", F.array("cell").alias("cells"))
+    )
+    return _part_pairs(nodes)
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     """Group near copies among ``vectors`` (vec_id: long, embedding: array, label).
 
@@ -414,17 +435,19 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label",
                        F.col("embedding").cast("array<double>").alias("embedding"))
         .withColumn("usable", usable)
-        .withColumn("node", F.xxhash64("label", "embedding"))
+        # A class is known by 128 bits of hash and by a number of its own.
+        .withColumns({"one": F.xxhash64("label", "embedding"), "two": F.xxhash64(F.lit(1), "label", "embedding")})
     ), "embedding-rows")
     classes = stored(spark, (
-        rows.where("usable").groupBy("node", "label", "embedding")
+        rows.where("usable").groupBy("one", "two", "label", "embedding")
         .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-        .withColumn("cell", F.xxhash64("label", F.size("embedding")))
+        .withColumns({"cell": F.xxhash64("label", F.size("embedding")), "node": F.monotonically_increasing_id()})
     ), "embedding-classes")
-    for widening in range(WIDENINGS + 1):
-        dealt = _dealt(classes, OVERLAP + widening)
+    for widening in range(WIDENINGS + 2):
+        exact = widening > WIDENINGS
+        dealt = _every_pair(classes) if exact else _dealt(classes, OVERLAP + widening)
         found = stored(spark, dealt.groupBy("cell", "low", "high").applyInPandas(
-            _linker(least, BEAM << widening), "node long, links long, lowest long"), "embedding-links")
+            _linker(least, None if exact else BEAM << widening), "node long, links long, lowest long"), "embedding-links")
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
         counted = stored(spark, classes.join(links, "node", "left").withColumn(
             "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))).drop("links"), "embedding-counts")
@@ -432,12 +455,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         if min(recall, vector_recall) >= TARGET:
             break
     grouped = components(found.select(F.col("node").alias("a"), F.col("lowest").alias("b")))
-    known = counted.select("node", "rep", "n_links").join(grouped, "node", "left").withColumn(
+    known = counted.select("node", "one", "two", "rep", "n_links").join(grouped, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     smallest = stored(
         spark, known.groupBy("component").agg(F.min("rep").alias("component_id")), "embedding-components")
-    known = known.join(smallest, "component").select("node", "n_links", "component_id")
-    linked = rows.where("usable").select("vec_id", "node").join(known, "node").select(
+    known = known.join(smallest, "component").select("one", "two", "n_links", "component_id")
+    linked = rows.where("usable").select("vec_id", "one", "two").join(known, ["one", "two"]).select(
         "vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id")
     alone = rows.where("not usable").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
@@ -452,8 +475,8 @@ def audit_recall(counted: DataFrame, least: float, queries: int = AUDIT_ROWS) ->
     """Found links over true links of up to ``queries`` classes picked by a hash: of
     all their links, and the mean over the classes that have one.
 
-    Every row is compared with the sample in blocks; the sample is bounded, so
-    it is sent to all tasks, and only a count per query comes back.
+    Every row is compared with the sample, a batch at a time in one product; the sample
+    is bounded, so it is sent to all tasks, and only a count per query comes back.
     """
     spark = counted.sparkSession
     picked = counted.orderBy(F.xxhash64("node", F.lit(7)), "node").limit(queries).collect()
@@ -462,16 +485,21 @@ def audit_recall(counted: DataFrame, least: float, queries: int = AUDIT_ROWS) ->
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         true = {q: 0 for q, _, _ in sample.value}
+        asked: dict[tuple, tuple[list, np.ndarray]] = {}
+        for q, label, vector in sample.value:
+            asked.setdefault((label, len(vector)), ([], []))[0].append(q)
+            asked[label, len(vector)][1].append(vector)
         for frame in frames:
-            for label, rows in frame.groupby("label"):
-                for q, own, vector in sample.value:
-                    if own != label:
-                        continue
-                    fit = rows[rows["embedding"].map(len) == len(vector)]
-                    if len(fit):
-                        cosine = _exact(_matrix(fit["embedding"]), np.broadcast_to(vector, (len(fit), len(vector))))
-                        hit = (cosine >= least) & (fit["node"].to_numpy() != q)
-                        true[q] += int(fit["copies"].to_numpy()[hit].sum())
+            for (label, size), rows in frame.groupby([frame["label"], frame["embedding"].map(len)]):
+                if (label, size) not in asked:
+                    continue
+                names, queries = asked[label, size]
+                raw, queries = _matrix(rows["embedding"]), np.array(queries)
+                near = _unit(raw) @ _unit(queries).T >= least - 1e-9
+                to, q = np.nonzero(near & (rows["node"].to_numpy()[:, None] != np.array(names)[None, :]))
+                sure = _exact(raw[to], queries[q]) >= least
+                for i, n in zip(q[sure].tolist(), rows["copies"].to_numpy()[to[sure]].tolist()):
+                    true[names[i]] += n
         yield pd.DataFrame({"node": list(true), "true": list(true.values())}, dtype=np.int64)
 
     true = {r["node"]: r["n"] for r in (

@@ -530,6 +530,24 @@ def test_near_vectors(spark, monkeypatch):
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_all_pairs_are_compared_where_the_search_falls_short(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 70)
+    monkeypatch.setattr(embedding_dedup, "CENTRE_ROWS", 30)
+    monkeypatch.setattr(embedding_dedup, "WIDENINGS", 0)
+    monkeypatch.setattr(embedding_dedup, "TARGET", 1.01)  # out of the search's reach
+    rng = np.random.default_rng(21)
+    rows = []
+    for label in (0, 1):
+        for size in (1, 2, 40, 120, *[2] * 40):
+            centre = rng.normal(size=16)
+            rows += [(len(rows) + k, (centre + rng.normal(size=16) * 0.25).tolist(), label) for k in range(size)]
+    rows += [(5000, rows[0][1], 0), (5001, rows[0][1][:8], 0)]
+    out = embedding_dedup.near_vectors(frame(spark, rows, "vec_id long, embedding array<double>, label int")).collect()
+    true = vectors_brute(rows, 0.93)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == true
+    assert {(r.audited_recall, r.audited_vector_recall) for r in out} == {(1.0, 1.0)}
+
+
 def test_range_search_finds_what_brute_force_finds():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 24))
