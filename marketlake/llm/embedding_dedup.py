@@ -13,9 +13,9 @@ into shards that fit a task:
    graph: near neighbours, robust-pruned, so that an edge is dropped when a kept
    neighbour is clearly nearer to its end. A vector's lists from its overlapping
    shards are united to one flat graph.
-4. Each vector is searched in its shards: greedy search from the medoid, then
-   range expansion until no hit is left unexpanded. Hits are verified by their
-   cosine in double precision.
+4. Each vector is searched in its shards, and in those that the nearest edges of its
+   united list lead to: greedy search from the medoid, then range expansion until no
+   hit is left unexpanded. Hits are verified by their cosine in double precision.
 5. The found links are audited against brute force over all rows for a bounded
    sample of queries, by link and by vector, so that a large group cannot hide lost
    pairs; under ``TARGET`` in either, the work is dealt again with one more cell a
@@ -48,8 +48,9 @@ SALT_ROWS = 4096
 #: Out-degree of the graph, candidates that are pruned to it, and the slack
 #: by which a kept neighbour must be nearer for an edge to be dropped.
 DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
-#: Width of the greedy search, and queries searched at a time.
-BEAM, QUERY_ROWS = 16, 256
+#: Width of the greedy search, queries searched at a time, and edges of the united graph
+#: that a vector follows out of its own cells.
+BEAM, QUERY_ROWS, VISITS = 16, 256, 6
 #: Queries of the audit (a bounded sample), the recall it asks for, of links and of
 #: vectors, and how often a cell is added and the beam doubled to reach it.
 AUDIT_ROWS, TARGET, WIDENINGS = 256, 0.95, 3
@@ -191,14 +192,15 @@ def _shard_links(key: tuple, frame: pd.DataFrame, least: float, beam: int | None
     link its number of new links and its smallest linked vector. Without a ``beam``
     all pairs are compared."""
     cell, low, high = (int(k) for k in key)
-    frame = frame.sort_values("node")
+    visitors = frame[frame["visits"]].sort_values("node")
+    frame = frame[~frame["visits"]].sort_values("node")
     raw = _matrix(frame["embedding"])
-    x = _unit(raw).astype(np.float32)
+    x = _unit(raw).astype(np.float32) if len(frame) else raw
     ids, size, own = (frame[c].to_numpy() for c in ("node", "copies", "part"))
     near = frame["near"].tolist() if beam is not None else []
     one, two = np.flatnonzero(own == low), np.flatnonzero(own == high)
     if not len(one) or not len(two):
-        return pd.DataFrame({"node": [], "links": [], "lowest": []}, dtype=np.int64)
+        return pd.DataFrame({"node": [], "links": [], "lowest": [], "visited": []}, dtype="Int64")
     if beam is None:
         hits = x[one] @ x[two].T >= np.float32(least - 1e-5)
     else:
@@ -228,11 +230,36 @@ def _shard_links(key: tuple, frame: pd.DataFrame, least: float, beam: int | None
     some = np.flatnonzero(lowest != _LAST)
     # Chains of smallest partners may stay apart: one more link for each such seam.
     seams = _seams(ids, q, to, lowest)
-    return pd.DataFrame({
+    out = pd.DataFrame({
         "node": np.r_[ids[some], ids[seams[0]]],
         "links": np.r_[links[some], np.zeros(len(seams[0]), np.int64)],
         "lowest": np.r_[lowest[some], ids[seams[1]]],
+        "visited": pd.array([None] * (len(some) + len(seams[0])), dtype="Int64"),
     })
+    if len(visitors) and beam is not None:
+        q, to = _visitor_links(visitors, frame, raw, x, one, _local_graph(ids[one], [near[i] for i in one]), least, beam)
+        out = pd.concat([out, pd.DataFrame({
+            "node": visitors["node"].to_numpy()[q], "links": np.zeros(len(q), np.int64), "lowest": ids[to],
+            "visited": pd.array(ids[to], dtype="Int64")})])
+    return out
+
+
+def _visitor_links(
+    visitors: pd.DataFrame, frame: pd.DataFrame, raw: np.ndarray, x: np.ndarray, part: np.ndarray, graph: np.ndarray,
+    least: float, beam: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links (places) between visitors and the vectors of a part that share no cell
+    with them: those that do are linked there."""
+    asked = _matrix(visitors["embedding"])
+    q, to = np.nonzero(_found(x[part], graph, _unit(asked).astype(np.float32), least, beam))
+    to = part[to]
+    true = np.empty(len(q), dtype=bool)
+    homes, cells = _padded(visitors["cells"], _LAST), _padded(frame["cells"], -1)
+    for i in range(0, len(q), 65_536):
+        a, b = q[i:i + 65_536], to[i:i + 65_536]
+        apart = ~(homes[a][:, :, None] == cells[b][:, None, :]).any(axis=(1, 2))
+        true[i:i + 65_536] = apart & (_exact(asked[a], raw[b]) >= least)
+    return q[true], to[true]
 
 
 def _linker(least: float, beam: int | None):
@@ -391,7 +418,27 @@ def _dealt(classes: DataFrame, overlap: int) -> DataFrame:
     cells = placed.groupBy("node").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
     nodes = stored(spark, shards.join(graph, "node").join(cells, "node").select(
         "cell", "parts", "part", "node", "embedding", "copies", "near", "cells"), "embedding-graph")
-    return _part_pairs(nodes)
+    return _part_pairs(nodes).withColumn("visits", F.lit(False)).unionByName(_visits(nodes, placed))
+
+
+def _visits(nodes: DataFrame, placed: DataFrame) -> DataFrame:
+    """The search of the united graph beyond a vector's own cells: it follows the nearest
+    edges of the vector's list into the cells of their ends and is a query there."""
+    spark = nodes.sparkSession
+    own = nodes.dropDuplicates(["node"]).select("node", "embedding", "copies", "cells", "near")
+    ends = own.select("node", "cells", F.explode(F.slice("near", 1, VISITS)).alias("end"))
+    doors = stored(spark, (
+        ends.join(placed.select(F.col("node").alias("end"), "cell"), "end").where(~F.array_contains("cells", F.col("cell")))
+        .select("node", "cell").distinct()
+    ), "embedding-doors")
+    parts = nodes.groupBy("cell").agg(F.max("parts").alias("parts"))
+    return (
+        doors.join(parts, "cell").join(own.drop("near"), "node")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("cell", "node", "embedding", "copies", F.array().cast("array<long>").alias("near"), "cells",
+                F.col("part").alias("low"), F.col("part").alias("high"), F.lit(-1).alias("part"), F.lit(True).alias("visits"))
+        .select("cell", "part", "node", "embedding", "copies", "near", "cells", "low", "high", "visits")
+    )
 
 
 def _part_pairs(nodes: DataFrame) -> DataFrame:
@@ -407,11 +454,21 @@ def _every_pair(classes: DataFrame) -> DataFrame:
     nodes = (
         classes.join(sizes, "cell").withColumn("parts", F.ceil(F.col("size") / SHARD_ROWS).cast("int"))
         .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        .select("cell", "parts", "part", "node", "embedding", "copies", F.array("cell").alias("cells"))
+        .select("cell", "parts", "part", "node", "embedding", "copies", F.array("cell").alias("cells"), F.lit(False).alias("visits"))
     )
     return _part_pairs(nodes)
 
 
+def _visited_links(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """What links found by visitors add to both ends. Both may have visited the other, and
+    in several cells, so these pairs are made distinct first."""
+    pairs = found.where("visited is not null").select(
+        F.least("node", "visited").alias("a"), F.greatest("node", "visited").alias("b")).distinct()
+    ends = pairs.select("a", "b").union(pairs.select("b", "a")).toDF("node", "other")
+    copies = classes.select(F.col("node").alias("other"), F.col("copies").alias("links"))
+    return ends.join(copies, "other").select("node", "links")
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     """Group near copies among ``vectors`` (vec_id: long, embedding: array, label).
 
@@ -447,8 +504,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         exact = widening > WIDENINGS
         dealt = _every_pair(classes) if exact else _dealt(classes, OVERLAP + widening)
         found = stored(spark, dealt.groupBy("cell", "low", "high").applyInPandas(
-            _linker(least, None if exact else BEAM << widening), "node long, links long, lowest long"), "embedding-links")
-        links = found.groupBy("node").agg(F.sum("links").alias("links"))
+            _linker(least, None if exact else BEAM << widening), "node long, links long, lowest long, visited long"), "embedding-links")
+        links = found.select("node", "links").unionByName(_visited_links(found, classes)).groupBy("node").agg(
+            F.sum("links").alias("links"))
         counted = stored(spark, classes.join(links, "node", "left").withColumn(
             "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))).drop("links"), "embedding-counts")
         recall, vector_recall = audit_recall(counted, least)
