@@ -50,7 +50,9 @@ SALT_ROWS = 4096
 DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
 #: Width of the greedy search, queries searched at a time, and edges of the united graph
 #: that a vector follows out of its own cells.
-BEAM, QUERY_ROWS, VISITS = 16, 256, 6
+BEAM, QUERY_ROWS, VISITS = 16, 256, 2
+#: How far under the bound nodes are expanded: hits may be joined through them only.
+SLACK = 0.03
 #: Queries of the audit (a bounded sample), the recall it asks for, of links and of
 #: vectors, and how often a cell is added and the beam doubled to reach it.
 AUDIT_ROWS, TARGET, WIDENINGS = 256, 0.95, 3
@@ -106,11 +108,12 @@ def medoid(x: np.ndarray) -> int:
 
 
 def range_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, least: float,
-                 beam: int = BEAM) -> np.ndarray:
+                 beam: int = BEAM, doors: np.ndarray | None = None) -> np.ndarray:
     """Boolean matrix (query, node) of the nodes found with cosine >= ``least``.
 
-    All queries advance together: each expands its best unexpanded node of the
-    beam until the beam is exhausted, then every hit that is not yet expanded.
+    All queries advance together from ``start`` and from their own ``doors`` (places,
+    -1: none): each expands its best unexpanded node of the beam until the beam is
+    exhausted, then every node that is a hit or ``SLACK`` short of it and not expanded.
     """
     n, count = len(x), len(queries)
     score = np.full((count, n), -np.inf, dtype=np.float32)
@@ -127,6 +130,8 @@ def range_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarr
             score[at, to] = np.einsum("ij,ij->i", queries[at], x[to])
 
     look(every, np.full((count, 1), start))
+    if doors is not None:
+        look(every, doors)
     live = every
     while len(live):
         waiting = np.where(expanded[live], -np.inf, score[live])
@@ -143,7 +148,7 @@ def range_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarr
     # Cosines of the search are single precision: a hair below the bound still counts.
     bound = np.float32(least - 1e-5)
     while True:
-        q, nodes = np.nonzero((score >= bound) & ~expanded)
+        q, nodes = np.nonzero((score >= bound - np.float32(SLACK)) & ~expanded)
         if not len(q):
             return score >= bound
         expanded[q, nodes] = True
@@ -163,18 +168,21 @@ def _shard_graph(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": ids, "near": [ids[row[row >= 0]] for row in graph]})
 
 
-def _found(x: np.ndarray, graph: np.ndarray, asked: np.ndarray, least: float, beam: int) -> np.ndarray:
-    start = medoid(x)
+def _found(x: np.ndarray, ids: np.ndarray, near: list, asked: np.ndarray, asked_near: list, least: float, beam: int) -> np.ndarray:
+    """Search ``asked`` in the part of the united graph that holds ``ids``: from its
+    medoid, and from the ends of the queries' own edges that lie in it."""
+    start, graph, doors = medoid(x), _local_graph(ids, near), _local_graph(ids, asked_near)
     return np.concatenate([
-        range_search(x, graph, start, asked[a:a + QUERY_ROWS], least, beam)
+        range_search(x, graph, start, asked[a:a + QUERY_ROWS], least, beam, doors[a:a + QUERY_ROWS])
         for a in range(0, len(asked), QUERY_ROWS)
     ])
 
 
 def _local_graph(ids: np.ndarray, near: list) -> np.ndarray:
+    """The lists ``near`` as places in ``ids``; ends that lie elsewhere are left out."""
     place = {v: i for i, v in enumerate(ids.tolist())}
     lists = [[place[v] for v in row if v in place] for row in near]
-    graph = np.full((len(ids), max(1, max(map(len, lists)))), -1)
+    graph = np.full((len(lists), max(1, max(map(len, lists)))), -1)
     for i, row in enumerate(lists):
         graph[i, :len(row)] = row
     return graph
@@ -204,12 +212,13 @@ def _shard_links(key: tuple, frame: pd.DataFrame, least: float, beam: int | None
     if beam is None:
         hits = x[one] @ x[two].T >= np.float32(least - 1e-5)
     else:
-        hits = _found(x[two], _local_graph(ids[two], [near[i] for i in two]), x[one], least, beam)
+        lists = [near[i] for i in one], [near[i] for i in two]
+        hits = _found(x[two], ids[two], lists[1], x[one], lists[0], least, beam)
     if low == high:
         hits |= hits.T
         hits = np.triu(hits, 1)
     elif beam is not None:
-        hits |= _found(x[one], _local_graph(ids[one], [near[i] for i in one]), x[two], least, beam).T
+        hits |= _found(x[one], ids[one], lists[0], x[two], lists[1], least, beam).T
     q, to = np.nonzero(hits)
     q, to = one[q], two[to]
     true = _verified(raw, q, to, least)
@@ -237,7 +246,7 @@ def _shard_links(key: tuple, frame: pd.DataFrame, least: float, beam: int | None
         "visited": pd.array([None] * (len(some) + len(seams[0])), dtype="Int64"),
     })
     if len(visitors) and beam is not None:
-        q, to = _visitor_links(visitors, frame, raw, x, one, _local_graph(ids[one], [near[i] for i in one]), least, beam)
+        q, to = _visitor_links(visitors, frame, raw, x, one, lists[0], least, beam)
         out = pd.concat([out, pd.DataFrame({
             "node": visitors["node"].to_numpy()[q], "links": np.zeros(len(q), np.int64), "lowest": ids[to],
             "visited": pd.array(ids[to], dtype="Int64")})])
@@ -245,13 +254,14 @@ def _shard_links(key: tuple, frame: pd.DataFrame, least: float, beam: int | None
 
 
 def _visitor_links(
-    visitors: pd.DataFrame, frame: pd.DataFrame, raw: np.ndarray, x: np.ndarray, part: np.ndarray, graph: np.ndarray,
+    visitors: pd.DataFrame, frame: pd.DataFrame, raw: np.ndarray, x: np.ndarray, part: np.ndarray, lists: list,
     least: float, beam: int,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Links (places) between visitors and the vectors of a part that share no cell
     with them: those that do are linked there."""
     asked = _matrix(visitors["embedding"])
-    q, to = np.nonzero(_found(x[part], graph, _unit(asked).astype(np.float32), least, beam))
+    q, to = np.nonzero(_found(
+        x[part], frame["node"].to_numpy()[part], lists, _unit(asked).astype(np.float32), visitors["near"].tolist(), least, beam))
     to = part[to]
     true = np.empty(len(q), dtype=bool)
     homes, cells = _padded(visitors["cells"], _LAST), _padded(frame["cells"], -1)
@@ -433,9 +443,9 @@ def _visits(nodes: DataFrame, placed: DataFrame) -> DataFrame:
     ), "embedding-doors")
     parts = nodes.groupBy("cell").agg(F.max("parts").alias("parts"))
     return (
-        doors.join(parts, "cell").join(own.drop("near"), "node")
+        doors.join(parts, "cell").join(own, "node")
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("cell", "node", "embedding", "copies", F.array().cast("array<long>").alias("near"), "cells",
+        .select("cell", "node", "embedding", "copies", "near", "cells",
                 F.col("part").alias("low"), F.col("part").alias("high"), F.lit(-1).alias("part"), F.lit(True).alias("visits"))
         .select("cell", "part", "node", "embedding", "copies", "near", "cells", "low", "high", "visits")
     )
