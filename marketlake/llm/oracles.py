@@ -118,9 +118,9 @@ WITH t AS (
   SELECT min(conv_id) AS conv_id, n FROM s WHERE i = n AND prefix NOT IN (SELECT prefix FROM s WHERE i < n)
   GROUP BY n, prefix
 )
-SELECT conv_id, n AS n_turns, turn // 256 AS part,
-       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text
-FROM t JOIN kept USING (conv_id) GROUP BY ALL
+SELECT conv_id, n AS n_turns, (i - 1) // 256 AS part,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY i) AS text
+FROM (SELECT * EXCLUDE (n) FROM s) JOIN kept USING (conv_id) GROUP BY ALL
 """
 
 def _op11(limits: dict[int, int], line_limit: int) -> str:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.arrow import arrow_schema, batched
 from marketlake.llm.common import ship_by_value, stored
-from marketlake.llm.ranges import range_shards, shard_of
+from marketlake.llm.ranges import numbered, range_shards
 
 ship_by_value(__name__)
 
@@ -64,19 +64,7 @@ def ordered_turns(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         F.unhex(F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256)).alias("mark"),
         F.length("text").alias("chars"))
     ordered, _ = range_shards(marked, ["conv_id", "turn", "role", "mark"], "trie-turns", shard_rows)
-    ordered = ordered.withColumn("shard", shard_of())
-    along = Window.partitionBy("conv_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # Only a shard's first conversation can have begun in an earlier one.
-    begun = stored(rows.sparkSession, (
-        ordered.groupBy("conv_id", "shard").agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("before", F.sum("c").over(along)).where(F.col("before").isNotNull())
-        .select("conv_id", "shard", "before")
-    ), "trie-begun")
-    inside = Window.partitionBy("conv_id", "shard").orderBy("at")
-    return (
-        ordered.withColumn("i", F.row_number().over(inside) - 1).join(begun, ["conv_id", "shard"], "left")
-        .select("conv_id", (F.col("i") + F.coalesce("before", F.lit(0))).alias("i"), "mark", "chars")
-    )
+    return numbered(ordered, "conv_id", "trie-begun").select("conv_id", "i", "mark", "chars")
 
 
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:

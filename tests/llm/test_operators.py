@@ -273,6 +273,18 @@ def test_snapshots_end_inside_a_turn(spark):
     assert {r.conv_id for r in out} == kept
 
 
+def test_many_rows_of_one_turn_are_cut_by_count(spark):
+    rng = random.Random(6)
+    rows = [(1, rng.choice([0, 5, None]), rng.choice(["user", "assistant"]), f"t{rng.randrange(10**6)}") for _ in range(900)]
+    ordered = sorted(set(rows), key=lambda r: (r[1] is None, r[1] or 0, r[2], r[3]))
+    rows += [(2, *r[1:]) for r in ordered[:700]] + [(3, *r[1:]) for r in ordered[:300]] + [(3, None, "user", "own")]
+    out = format_chats(frame(spark, rows, CHAT), shard_rows=120).collect()
+    assert {r.conv_id: r.n_turns for r in out} == {1: len(ordered), 3: 301}
+    parts = sorted((r.part, r.text) for r in out if r.conv_id == 1)
+    assert [p for p, _ in parts] == list(range(-(-len(ordered) // 256)))
+    assert "".join(t for _, t in parts) == "".join(f"<|im_start|>{r[2]}\n{r[3]}<|im_end|>\n" for r in ordered)
+
+
 # --- op7: quality ------------------------------------------------------------------
 
 def test_quality_edge_cases(spark):
