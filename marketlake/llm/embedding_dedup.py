@@ -13,8 +13,8 @@ into shards that fit a task:
    graph: near neighbours, robust-pruned, so that an edge is dropped when a kept
    neighbour is clearly nearer to its end. A vector's lists from its overlapping
    shards are united to one flat graph.
-4. Each vector is searched in its shards, and in those that the nearest edges of its
-   united list lead to: greedy search from the medoid, then range expansion until no
+4. Each vector is searched in its shards, and in those that the edges of its united list
+   lead to where they end near enough: greedy search from the medoid, then range expansion until no
    hit is left unexpanded. Hits are verified by their cosine in double precision.
 5. The found links are audited against brute force over all rows for a bounded
    sample of queries, by link and by vector, so that a large group cannot hide lost
@@ -42,15 +42,17 @@ ship_by_value(__name__)
 
 #: Vectors of one shard; cells a vector belongs to at first; rows per centre and most
 #: centres of one split; cosine above which two centres are too near.
-SHARD_ROWS, OVERLAP, CENTRE_ROWS, CENTRES, CENTRE_COSINE = 2048, 3, 300, 64, 0.75
+SHARD_ROWS, OVERLAP, CENTRE_ROWS, CENTRES, CENTRE_COSINE = 1024, 3, 150, 64, 0.75
 #: Rows that share one copy of their cell's centres while cells are assigned.
 SALT_ROWS = 4096
 #: Out-degree of the graph, candidates that are pruned to it, and the slack
 #: by which a kept neighbour must be nearer for an edge to be dropped.
 DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
-#: Width of the greedy search, queries searched at a time, and edges of the united graph
-#: that a vector follows out of its own cells.
-BEAM, QUERY_ROWS, VISITS = 16, 256, 2
+#: Width of the greedy search, and queries searched at a time.
+BEAM, QUERY_ROWS = 16, 256
+#: How far under the bound the end of an edge may be that is followed out of a vector's
+#: own cells.
+REACH = 0.06
 #: How far under the bound nodes are expanded: hits may be joined through them only.
 SLACK = 0.03
 #: Queries of the audit (a bounded sample), the recall it asks for, of links and of
@@ -161,11 +163,22 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
 
 
-def _shard_graph(frame: pd.DataFrame) -> pd.DataFrame:
+def _grapher(least: float):
+    def graph(frame: pd.DataFrame) -> pd.DataFrame:
+        return _shard_graph(frame, least)
+
+    return graph
+
+
+def _shard_graph(frame: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Every vector's list, and the ends of it that are within ``REACH`` of a link."""
     frame = frame.sort_values("node")
-    graph = build_graph(_unit(_matrix(frame["embedding"])))
+    x = _unit(_matrix(frame["embedding"]))
+    graph = build_graph(x)
     ids = frame["node"].to_numpy()
-    return pd.DataFrame({"node": ids, "near": [ids[row[row >= 0]] for row in graph]})
+    reached = (np.einsum("ij,ikj->ik", x, x[graph]) >= least - REACH) & (graph >= 0)
+    return pd.DataFrame({"node": ids, "near": [ids[row[row >= 0]] for row in graph],
+                         "ends": [ids[row[mark]] for row, mark in zip(graph, reached)]})
 
 
 def _found(x: np.ndarray, ids: np.ndarray, near: list, asked: np.ndarray, asked_near: list, least: float, beam: int) -> np.ndarray:
@@ -410,7 +423,7 @@ def _usable(embedding) -> F.Column:
     return F.coalesce(embedding.isNotNull() & finite & F.exists(embedding, lambda v: v != 0), F.lit(False))
 
 
-def _dealt(classes: DataFrame, overlap: int) -> DataFrame:
+def _dealt(classes: DataFrame, overlap: int, least: float) -> DataFrame:
     """Every pair of parts of a cell (``low``, ``high``) with its vectors and their graph."""
     spark = classes.sparkSession
     placed = stored(spark, _split(classes, overlap).distinct(), "embedding-placed")
@@ -422,28 +435,29 @@ def _dealt(classes: DataFrame, overlap: int) -> DataFrame:
     )
     graph = (
         shards.select("cell", "part", "node", "embedding").groupBy("cell", "part")
-        .applyInPandas(_shard_graph, "node long, near array<long>")
-        .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+        .applyInPandas(_grapher(least), "node long, near array<long>, ends array<long>")
+        .groupBy("node").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "ends")])
     )
     cells = placed.groupBy("node").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
     nodes = stored(spark, shards.join(graph, "node").join(cells, "node").select(
-        "cell", "parts", "part", "node", "embedding", "copies", "near", "cells"), "embedding-graph")
-    return _part_pairs(nodes).withColumn("visits", F.lit(False)).unionByName(_visits(nodes, placed))
+        "cell", "parts", "part", "node", "embedding", "copies", "near", "ends", "cells"), "embedding-graph")
+    return _part_pairs(nodes.drop("ends")).withColumn("visits", F.lit(False)).unionByName(_visits(nodes, placed))
 
 
 def _visits(nodes: DataFrame, placed: DataFrame) -> DataFrame:
-    """The search of the united graph beyond a vector's own cells: it follows the nearest
-    edges of the vector's list into the cells of their ends and is a query there."""
+    """The search of the united graph beyond a vector's own cells: it follows the edges of
+    the vector's list that end within reach of a link into the cells of their ends, and
+    is a query there."""
     spark = nodes.sparkSession
-    own = nodes.dropDuplicates(["node"]).select("node", "embedding", "copies", "cells", "near")
-    ends = own.select("node", "cells", F.explode(F.slice("near", 1, VISITS)).alias("end"))
+    own = nodes.dropDuplicates(["node"]).select("node", "embedding", "copies", "cells", "near", "ends")
+    ends = own.select("node", "cells", F.explode("ends").alias("end"))
     doors = stored(spark, (
         ends.join(placed.select(F.col("node").alias("end"), "cell"), "end").where(~F.array_contains("cells", F.col("cell")))
         .select("node", "cell").distinct()
     ), "embedding-doors")
     parts = nodes.groupBy("cell").agg(F.max("parts").alias("parts"))
     return (
-        doors.join(parts, "cell").join(own, "node")
+        doors.join(parts, "cell").join(own.drop("ends"), "node")
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select("cell", "node", "embedding", "copies", "near", "cells",
                 F.col("part").alias("low"), F.col("part").alias("high"), F.lit(-1).alias("part"), F.lit(True).alias("visits"))
@@ -512,7 +526,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     ), "embedding-classes")
     for widening in range(WIDENINGS + 2):
         exact = widening > WIDENINGS
-        dealt = _every_pair(classes) if exact else _dealt(classes, OVERLAP + widening)
+        dealt = _every_pair(classes) if exact else _dealt(classes, OVERLAP + widening, least)
         found = stored(spark, dealt.groupBy("cell", "low", "high").applyInPandas(
             _linker(least, None if exact else BEAM << widening), "node long, links long, lowest long, visited long"), "embedding-links")
         links = found.select("node", "links").unionByName(_visited_links(found, classes)).groupBy("node").agg(
