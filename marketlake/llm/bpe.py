@@ -7,8 +7,11 @@ merges all its occurrences, left to right; words without a mergeable pair leave
 the array. The number of rounds is that of the word with the most merges, not
 the number of words.
 
-Every code point that Python's Unicode tables (15.1) assign is split and
-lower-cased as the tokenizers library does it; later ones may differ.
+Texts made of code points that Unicode 3.2 assigns are normalised, lower-cased and
+split here: their properties are fixed since then, so every table agrees on them. A
+text that holds any other code point is normalised and split by the vocabulary's own
+normaliser and pre-tokeniser in the tokenizers library, whose tables are of another
+Unicode version than Python's; its words are merged here like all others.
 
 Spark splits the documents; a task holds one block of texts (about
 ``BLOCK_CHARS`` characters, or one longer text) and a bounded word cache.
@@ -58,6 +61,13 @@ def byte_alphabet() -> list[str]:
     return [alphabet[b] for b in range(256)]
 
 
+def later_code_points() -> str:
+    """A pattern for any code point that Unicode 3.2 leaves unassigned or private."""
+    unsettled = [unicodedata.ucd_3_2_0.category(chr(i)) in ("Cn", "Co", "Cs") for i in range(0x110000)]
+    edges = np.flatnonzero(np.diff(np.r_[False, unsettled, False].astype(np.int8)))
+    return "[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())) + "]"
+
+
 class BpeModel:
     """A byte-level BPE vocabulary with a word-end suffix, as numpy tables."""
 
@@ -79,6 +89,13 @@ class BpeModel:
         self.size, self.keys, self.ranks = size, keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b[: len(b)]] for a, b in pairs], dtype=np.int64)[order]
         self._special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        self._later = re.compile(later_code_points())
+        # The library's part of the vocabulary: how a text is normalised and split.
+        self._split_spec = json.dumps({
+            "version": spec.get("version", "1.0"), "normalizer": spec["normalizer"], "pre_tokenizer": spec["pre_tokenizer"],
+            "model": {"type": "BPE", "vocab": {}, "merges": []}})
+        self._split_bytes = {ord(c): b for b, c in enumerate(byte_alphabet())}
+        self._library = None
 
     @classmethod
     def load(cls, path: str) -> BpeModel:
@@ -87,7 +104,7 @@ class BpeModel:
 
     def tables(self) -> dict:
         """The model as plain values, to be sent to the executors."""
-        return self.__dict__
+        return {**self.__dict__, "_library": None}
 
     @classmethod
     def of(cls, tables: dict) -> BpeModel:
@@ -99,14 +116,24 @@ class BpeModel:
         """The text's words; a special token stands as a word of its own, marked
         by a leading space, which no other word holds."""
         if self._special is None or "<" not in text:
-            return _plain_words(text)
+            return self._plain(text)
         out: list[str] = []
         at = 0
         for m in self._special.finditer(text):
-            out += _plain_words(text[at:m.start()])
+            out += self._plain(text[at:m.start()])
             out.append(" " + m[0])
             at = m.end()
-        return out + _plain_words(text[at:])
+        return out + self._plain(text[at:])
+
+    def _plain(self, text: str) -> list[str]:
+        if text.isascii() or not self._later.search(text):
+            return _plain_words(text)
+        if self._library is None:
+            import tokenizers
+
+            self._library = tokenizers.Tokenizer.from_str(self._split_spec)
+        shown = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
+        return [w.translate(self._split_bytes).encode("latin-1").decode("utf-8") for w, _ in shown]
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one flat array, and each word's number of ids."""

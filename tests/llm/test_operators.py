@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -191,6 +192,25 @@ def test_bpe_matches_the_library(spark):
         assert out[i].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_bpe_matches_the_library_for_any_code_point():
+    """Unassigned, private and later code points and marks of every class, in any order."""
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(tokenizer_path())
+    encode = bpe.Encoder(bpe.BpeModel.of(bpe.BpeModel.load(tokenizer_path()).tables()))
+    marks = [chr(i) for i in range(0x110000) if unicodedata.combining(chr(i))]
+    pick = random.Random(11)
+
+    def anything():
+        at = pick.randrange(pick.choice([0x80, 0x3000, 0x20000, 0x110000]))
+        return "?" if 0xD800 <= at < 0xE000 else chr(at)
+
+    texts = ["\U0001e133\u0f7a\u0f74", "\u208f", *("".join(
+        pick.choice([anything(), pick.choice(marks), pick.choice("ab 's\u03a31")]) for _ in range(pick.randrange(1, 30)))
+        for _ in range(5000))]
+    for text, ids in zip(texts, encode(texts)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_bpe_columns_and_round_trip(spark):
     docs = frame(spark, [(1, "Hello, world", "x"), (2, None, "y"), (2, None, "y")], DOC + ", token_ids string")
     encoded = bpe.encode(docs, tokenizer_path())
