@@ -5,8 +5,9 @@ of the normalised text, then by (length, hash of a prefix), and only rows whose
 group still has company are grouped by the full hash; all others are unique. Every
 text is read once, where it lies, and only lengths and hashes are moved. Group
 sizes are counts with a map-side partial aggregate, so a group that holds a third
-of all rows costs one row per task; the joins that bring a group's fate back to its
-rows are plain equi-joins that AQE splits when one key is hot.
+of all rows costs one row per task. Its fate is brought back to its rows in
+``PARTS`` parts: rows are dealt to parts by their place, and a group's row is repeated
+for the parts that hold members only, never more often than it has members.
 """
 
 from __future__ import annotations
@@ -18,16 +19,21 @@ from marketlake.llm.common import stored, without_spaces
 
 #: Characters of the normalised text that the second round hashes.
 PREFIX_CHARS = 256
+#: Parts that a group's rows are dealt to when they learn their group's fate.
+PARTS = 32
 
 
 def measured(docs: DataFrame) -> DataFrame:
     """doc_id, code points of the text, and what the rounds compare: length, prefix hash
-    and full hash of the normalised text. The text itself is not carried on, so no round
-    moves more than these few bytes a row."""
+    and full hash of the normalised text; further a number that tells equal rows apart
+    once it is stored, and the part the row is dealt to. The text itself is not carried on, so no round moves more than these
+    few bytes a row."""
     normal = without_spaces(F.col("text"))
     return docs.select(
         "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("_x_chars"), F.length(normal).alias("_x_len"),
-        F.xxhash64(F.substring(normal, 1, PREFIX_CHARS)).alias("_x_prefix"), F.sha2(normal, 256).alias("text_sha256"))
+        F.xxhash64(F.substring(normal, 1, PREFIX_CHARS)).alias("_x_prefix"), F.sha2(normal, 256).alias("text_sha256"),
+        F.monotonically_increasing_id().alias("_x_row"),
+    ).withColumn("_x_part", F.pmod(F.xxhash64("_x_row"), F.lit(PARTS)).cast("int"))
 
 
 def refine(rows: DataFrame) -> DataFrame:
@@ -42,21 +48,33 @@ def refine(rows: DataFrame) -> DataFrame:
     ), "exact-prefixes")
     # A sort-merge join by hint: the table of shared prefixes grows with the documents,
     # and so the plan is the same at every size.
-    return rows.join(by_prefix.hint("merge"), ["_x_len", "_x_prefix"]).withColumn("full_hash", F.col("text_sha256"))
+    return rows.join(by_prefix.hint("merge"), ["_x_len", "_x_prefix"]).withColumnRenamed("text_sha256", "full_hash")
 
 
-def keepers(rows: DataFrame, group: str) -> DataFrame:
-    """One row per ``group`` with company: keep_id (most ``_x_chars``, then the
-    smallest doc_id, null last) and group_size."""
+def keepers(rows: DataFrame) -> DataFrame:
+    """One row per ``full_hash`` with company: keep_id, keep_chars and keep_row of the row
+    that stays (most ``_x_chars``, then the smallest doc_id, null last, then the smallest
+    ``_x_row``), group_size, and the bits of the ``_x_part`` that hold members."""
     best = F.min(F.struct((-F.col("_x_chars")).alias("c"), F.col("doc_id").isNull().alias("n"),
-                          F.col("doc_id").alias("d")))
+                          F.col("doc_id").alias("d"), F.col("_x_row").alias("r")))
     return (
-        rows.groupBy(group).agg(best.alias("b"), F.sum("_x_n").alias("group_size"))
-        .where("group_size > 1").select(group, F.col("b.d").alias("keep_id"), "group_size",
-                                        (-F.col("b.c")).alias("keep_chars"))
+        rows.groupBy("full_hash").agg(
+            best.alias("b"), F.count(F.lit(1)).alias("group_size"),
+            F.bit_or(F.expr("shiftleft(1L, _x_part)")).alias("_x_parts"))
+        .where("group_size > 1")
+        .select("full_hash", F.col("b.d").alias("keep_id"), "group_size", (-F.col("b.c")).alias("keep_chars"),
+                F.col("b.r").alias("keep_row"), "_x_parts")
     )
 
 
+def by_part(groups: DataFrame) -> DataFrame:
+    """``keepers`` once for every part that holds members. With the hint the join that
+    follows is a sort-merge join at every size: the table grows with the documents."""
+    dealt = groups.withColumn("_x_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))).where(
+        F.expr("getbit(_x_parts, _x_part) = 1")).drop("_x_parts")
+    return stored(groups.sparkSession, dealt, "exact-keepers").hint("merge")
+
+
 def exact_groups(docs: DataFrame) -> DataFrame:
     """Every document with its group of equal texts.
 
@@ -72,21 +90,15 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = stored(spark, measured(docs), "exact-hashes")
-    refined = stored(spark, refine(rows), "exact-refined")
-    # Only texts with company are grouped; repeated rows travel as one row and a count.
-    counted = refined.groupBy("full_hash", "doc_id", "_x_chars").agg(F.count(F.lit(1)).alias("_x_n"))
-    groups = stored(spark, keepers(counted, "full_hash"), "exact-keepers")
-    first = (F.col("at") == 0) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (
-        F.col("_x_chars") == F.col("keep_chars"))
-    copies = (
-        counted.join(groups.hint("merge"), "full_hash")
-        .withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_x_n") - 1)))
-        .select("doc_id", "keep_id", "group_size", first.alias("kept"), F.col("full_hash").alias("text_sha256"))
+    # Only texts with company are grouped; a row without a group is alone.
+    groups = by_part(keepers(refine(rows)))
+    alone = F.col("group_size").isNull()
+    return (
+        rows.withColumnRenamed("text_sha256", "full_hash").join(groups, ["full_hash", "_x_part"], "left")
+        .select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+                F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+                (alone | (F.col("_x_row") == F.col("keep_row"))).alias("kept"), F.col("full_hash").alias("text_sha256"))
     )
-    alone = rows.join(groups.hint("merge"), F.col("text_sha256") == F.col("full_hash"), "left_anti").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"),
-        "text_sha256")
-    return copies.unionByName(alone)
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
@@ -94,13 +106,12 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     equal texts. Rows that repeat doc_id and text length within a group are one
     document and stay or go together; rows of another group, whatever their doc_id
     and length, are not touched. A null doc_id is a value like any other."""
+    spark = docs.sparkSession
     chars = F.coalesce(F.length("text"), F.lit(0))
-    candidates = stored(docs.sparkSession, refine(stored(docs.sparkSession, measured(docs), "exact-hashes")).select(
-        "full_hash", "doc_id", "_x_chars", F.lit(1).alias("_x_n")), "exact-candidates")
+    candidates = stored(spark, refine(stored(spark, measured(docs), "exact-hashes")), "exact-candidates")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_x_chars") == F.col("keep_chars"))
     dropped = (
-        candidates.join(stored(docs.sparkSession, keepers(candidates, "full_hash"), "exact-keepers"), "full_hash")
-        .where(~stays)
+        candidates.join(by_part(keepers(candidates)), ["full_hash", "_x_part"]).where(~stays)
         .select(F.col("doc_id").alias("_x_id"), F.col("_x_chars").alias("_x_gone"), F.col("full_hash").alias("_x_hash"))
         .distinct()
     )
