@@ -68,6 +68,28 @@ def possible(df: DataFrame, keys: DataFrame, key: str, bits: int = 1 << 26) -> D
     )
 
 
+#: Parts that the rows of one key are dealt to when they are joined with its one row.
+PARTS = 32
+
+
+def part_of(*cols: str) -> Column:
+    """The part of a row, from columns that differ between rows of one key."""
+    return F.pmod(F.xxhash64(*cols), F.lit(PARTS)).cast("int")
+
+
+def parts_held() -> Column:
+    """Aggregate: the parts ``_x_part`` that hold rows of a key, as bits ``_x_parts``."""
+    return F.bit_or(F.expr("shiftleft(1L, _x_part)")).alias("_x_parts")
+
+
+def by_part(groups: DataFrame) -> DataFrame:
+    """``groups`` (a row per key) once for every part in ``_x_parts``: never more often
+    than the key has rows. Joined on the key and ``_x_part``, a key that holds a large
+    share of all rows is the work of ``PARTS`` tasks."""
+    return groups.withColumn("_x_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))).where(
+        F.expr("getbit(_x_parts, _x_part) = 1")).drop("_x_parts")
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only; every other character stays as it is."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import discard, stored
+from marketlake.llm.common import by_part, discard, part_of, parts_held, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,7 +16,8 @@ def components(links: DataFrame) -> DataFrame:
     algorithm, which need a logarithmic number of rounds in practice. Each step
     attaches a node's neighbours to its smallest neighbour. The minimum per node
     is a map-side combined aggregate, and it is joined back to the links, so a
-    node with very many links is never one task's list. Each round is written to
+    node with very many links is never one task's list: its links are dealt to parts by
+    their other end, and the minimum is repeated for the parts that hold links. Each round is written to
     the shared checkpoint folder and the one before it is deleted.
     """
     spark = links.sparkSession
@@ -48,18 +49,20 @@ def _oriented(links: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     # Neighbours larger than the node attach to the smallest of its neighbourhood.
-    both = edges.union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    least = stored(edges.sparkSession, least, "links-least")
+    both = edges.union(edges.select("b", "a")).withColumn("_x_part", part_of("b"))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), parts_held())
+    least = stored(edges.sparkSession, by_part(least), "links-least")
     return (
-        both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        both.join(least, ["a", "_x_part"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     # The node and its smaller neighbours attach to the smallest of them.
-    least = stored(edges.sparkSession, edges.groupBy("a").agg(F.min("b").alias("m")), "links-least")
-    joined = edges.join(least, "a")
+    edges = edges.withColumn("_x_part", part_of("b"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), parts_held())
+    least = stored(edges.sparkSession, by_part(least), "links-least")
+    joined = edges.join(least, ["a", "_x_part"])
     return (
         joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         .union(least.select("a", F.col("m").alias("b"))).distinct()

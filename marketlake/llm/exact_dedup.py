@@ -6,8 +6,8 @@ group still has company are grouped by the full hash; all others are unique. Eve
 text is read once, where it lies, and only lengths and hashes are moved. Group
 sizes are counts with a map-side partial aggregate, so a group that holds a third
 of all rows costs one row per task. Its fate is brought back to its rows in
-``PARTS`` parts: rows are dealt to parts by their place, and a group's row is repeated
-for the parts that hold members only, never more often than it has members.
+parts (``common.by_part``): rows are dealt to parts by their place, and a group's row is
+repeated for the parts that hold members only, never more often than it has members.
 """
 
 from __future__ import annotations
@@ -15,25 +15,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored, without_spaces
+from marketlake.llm.common import by_part, part_of, parts_held, stored, without_spaces
 
 #: Characters of the normalised text that the second round hashes.
 PREFIX_CHARS = 256
-#: Parts that a group's rows are dealt to when they learn their group's fate.
-PARTS = 32
 
 
 def measured(docs: DataFrame) -> DataFrame:
     """doc_id, code points of the text, and what the rounds compare: length, prefix hash
     and full hash of the normalised text; further a number that tells equal rows apart
-    once it is stored, and the part the row is dealt to. The text itself is not carried on, so no round moves more than these
-    few bytes a row."""
+    once it is stored, and the part the row is dealt to. The text itself is not carried
+    on, so no round moves more than these few bytes a row."""
     normal = without_spaces(F.col("text"))
     return docs.select(
         "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("_x_chars"), F.length(normal).alias("_x_len"),
         F.xxhash64(F.substring(normal, 1, PREFIX_CHARS)).alias("_x_prefix"), F.sha2(normal, 256).alias("text_sha256"),
         F.monotonically_increasing_id().alias("_x_row"),
-    ).withColumn("_x_part", F.pmod(F.xxhash64("_x_row"), F.lit(PARTS)).cast("int"))
+    ).withColumn("_x_part", part_of("_x_row"))
 
 
 def refine(rows: DataFrame) -> DataFrame:
@@ -59,20 +57,18 @@ def keepers(rows: DataFrame) -> DataFrame:
                           F.col("doc_id").alias("d"), F.col("_x_row").alias("r")))
     return (
         rows.groupBy("full_hash").agg(
-            best.alias("b"), F.count(F.lit(1)).alias("group_size"),
-            F.bit_or(F.expr("shiftleft(1L, _x_part)")).alias("_x_parts"))
+            best.alias("b"), F.count(F.lit(1)).alias("group_size"), parts_held())
         .where("group_size > 1")
         .select("full_hash", F.col("b.d").alias("keep_id"), "group_size", (-F.col("b.c")).alias("keep_chars"),
                 F.col("b.r").alias("keep_row"), "_x_parts")
     )
 
 
-def by_part(groups: DataFrame) -> DataFrame:
-    """``keepers`` once for every part that holds members. With the hint the join that
-    follows is a sort-merge join at every size: the table grows with the documents."""
-    dealt = groups.withColumn("_x_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))).where(
-        F.expr("getbit(_x_parts, _x_part) = 1")).drop("_x_parts")
-    return stored(groups.sparkSession, dealt, "exact-keepers").hint("merge")
+def dealt_keepers(rows: DataFrame) -> DataFrame:
+    """``keepers`` of ``rows``, stored, once for every part that holds members. With the
+    hint the join that follows is a sort-merge join at every size: the table grows with
+    the documents."""
+    return stored(rows.sparkSession, by_part(keepers(rows)), "exact-keepers").hint("merge")
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
@@ -91,7 +87,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = stored(spark, measured(docs), "exact-hashes")
     # Only texts with company are grouped; a row without a group is alone.
-    groups = by_part(keepers(refine(rows)))
+    groups = dealt_keepers(refine(rows))
     alone = F.col("group_size").isNull()
     return (
         rows.withColumnRenamed("text_sha256", "full_hash").join(groups, ["full_hash", "_x_part"], "left")
@@ -111,7 +107,7 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     candidates = stored(spark, refine(stored(spark, measured(docs), "exact-hashes")), "exact-candidates")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_x_chars") == F.col("keep_chars"))
     dropped = (
-        candidates.join(by_part(keepers(candidates)), ["full_hash", "_x_part"]).where(~stays)
+        candidates.join(dealt_keepers(candidates), ["full_hash", "_x_part"]).where(~stays)
         .select(F.col("doc_id").alias("_x_id"), F.col("_x_chars").alias("_x_gone"), F.col("full_hash").alias("_x_hash"))
         .distinct()
     )
