@@ -105,6 +105,20 @@ def write_ndjson(df: DataFrame, out_dir: str, mode: str = "append") -> None:
     )
 
 
+def land_pages(pages: DataFrame, out_dir: str, body_col: str = "body") -> None:
+    """Page bodies as text, one file each (see ``sources.page_stream``). Every write task
+    fills a folder of its own, so the commit renames a folder per task, not per page, and
+    the listings run over as many folders."""
+    from pyspark.sql import functions as F
+
+    (
+        pages.select(F.spark_partition_id().alias("lot"), F.col(body_col).alias("value"))
+        .write.partitionBy("lot")
+        .option("maxRecordsPerFile", 1)
+        .text(out_dir)
+    )
+
+
 def compact(
     spark: SparkSession,
     path: str,

@@ -645,3 +645,44 @@ def test_commands_ingest_day_and_vacuum(spark, tmp_root, capsys):
     for bad in (["ingest", *warehouse], ["collect", *warehouse, "--landing", landing]):
         with pytest.raises(SystemExit):
             main(bad)
+
+
+# --- Landing of pages -------------------------------------------------------------
+
+def _small_events(spark, root, n=5000):
+    """``n`` events (20 pages of 250), one of them without a number: a page of its own."""
+    spark.range(n + 1).select(
+        F.when(F.col("id") < n, F.col("id")).alias("event_id"),
+        F.timestamp_seconds(F.lit(1705226400) + F.col("id")).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 90).alias("user_id"), F.lit("view").alias("event_type"), (F.col("id") % 100 * 1.0).alias("value"),
+        F.lit("{}").alias("props")).coalesce(1).write.parquet(f"{root}/events.parquet")
+    return root
+
+
+def test_failed_pages_are_dealt_with_their_pages(spark, tmp_root):
+    from marketlake.catalog import _pages
+
+    pages = _pages(spark, _small_events(spark, tmp_root))
+    failed = F.col("body").startswith("{")
+    dealt = pages.groupBy(F.spark_partition_id()).agg(
+        F.count_if(~failed).alias("good"), F.count_if(failed).alias("bad")).collect()
+    assert sum(r.good for r in dealt) == 21 and all(r.good == r.bad for r in dealt)
+    ids = [r.page_id for r in pages.collect()]
+    assert sorted(i for i in ids if i is not None) == list(range(-20, 20)) and ids.count(None) == 2
+
+
+def test_page_stream_lands_one_file_a_page_in_few_folders(spark, tmp_root, monkeypatch):
+    from marketlake import catalog
+
+    sf_dir, made = _small_events(spark, tmp_root), {}
+    monkeypatch.setattr(catalog, "scratch_dir", lambda s, name: made.setdefault(name, f"{tmp_root}/{name}"))
+    rows = catalog.q_bronze_page_stream(spark, sf_dir)
+    assert rows.count() == 5001 and rows.where("current_price = 7").count() == 50
+    folders = {}
+    for d, _, fs in os.walk(made["landed-pages"].replace("file:", "")):
+        bodies = [open(f"{d}/{f}").read() for f in fs if f.startswith("part-")]
+        assert all(b.count("\n") == 1 for b in bodies)  # one page, whole
+        if bodies:
+            folders[d] = len(bodies)
+    # One folder a task that writes, not one a page.
+    assert sum(folders.values()) == 42 and len(folders) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
