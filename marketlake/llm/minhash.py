@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from marketlake.llm.common import possible, ship_by_value, stored
+from marketlake.llm.common import absent, discard, possible, ship_by_value, stored
 from marketlake.llm.components import components
 from marketlake.llm.shingles import mix64, shingle_sets, text_blocks
 
@@ -232,12 +232,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     ), "minhash-signatures")
     whole = signed.where("n > 0 and doc_id is not null")
 
-    company = whole.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
-    classed = whole.join(stored(
-        spark, company.where("rep <> last").select("set_key", "rep"), "minhash-classes"), "set_key", "left")
-    copies = classed.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    reps = classed.where("rep is null or doc_id = rep").select("doc_id", "n", "bands", "sketch")
-
+    copies, reps = _classes(whole)
     member = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     hubs = member.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub <> last")
     hubs = stored(spark, hubs.drop("last"), "minhash-hubs")
@@ -247,10 +242,13 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     close = stored(spark, _close(stars, reps, percent), "minhash-stars")
     sets = _sets(texts, close.select(F.explode(F.array("a", "b")).alias("doc_id")), size)
     links = stored(spark, _confirmed(close, sets, percent).union(copies).distinct(), "minhash-links")
+    discard(spark, sets)
     grouped = components(links)
 
     candidates = _cross_candidates(shared, reps, grouped, percent)
-    more = stored(spark, _cross_links(candidates, _sets(texts, candidates, size), percent), "minhash-cross")
+    sets = _sets(texts, candidates, size)
+    more = stored(spark, _cross_links(candidates, sets, percent), "minhash-cross")
+    discard(spark, sets)
     if not more.isEmpty():
         grouped = components(links.union(more))
     return (
@@ -292,6 +290,31 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("_x_id")) & (node == F.col("_x_node")), "left_anti")
 
 
+def _classes(whole: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links (a, b) of exact copies to the smallest doc_id of their set, and the rows
+    (doc_id, n, bands, sketch) that stand for their class. Most sets have no copies; a
+    bitmap tells them where they lie, and only the signatures of the others are moved.
+    Those are joined with their set and doc_id: copies of one set go to many tasks."""
+    spark = whole.sparkSession
+    own = whole.select("set_key", "doc_id")
+    first = F.min("doc_id").alias("rep")
+    classes = stored(spark, (
+        own.groupBy("set_key").agg(first, F.max("doc_id").alias("last")).where("rep <> last").select("set_key", "rep")
+    ), "minhash-classes")
+    copies = (
+        possible(own, classes, "set_key").join(classes.hint("merge"), "set_key").where("doc_id <> rep")
+        .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
+    )
+    payload = ["doc_id", "n", "bands", "sketch"]
+    # What passes the bitmap by chance is the first of its set like any other.
+    firsts = possible(own, classes, "set_key").groupBy("set_key").agg(first).withColumnRenamed("rep", "doc_id")
+    firsts = stored(spark, firsts, "minhash-firsts")
+    chosen = stored(spark, (
+        possible(whole, classes, "set_key").join(firsts.hint("merge"), ["set_key", "doc_id"]).select(*payload)
+    ), "minhash-chosen")
+    return copies, absent(whole, classes, "set_key").select(*payload).unionByName(chosen)
+
+
 def _least_equal(percent: int) -> int:
     """Equal bytes of two sketches from which a pair is confirmed."""
     return int(np.ceil(BANDS * ROWS * ((percent / 100 - MARGIN) * 255 / 256 + 1 / 256)))
@@ -317,9 +340,10 @@ def _close(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """The full shingle sets of the documents in ``ids``."""
+    """The full shingle sets of the documents in ``ids``. Only texts that pass the bitmap
+    are moved."""
     ids = ids.select("doc_id").distinct()
-    wanted = possible(texts, ids, "doc_id").join(ids.hint("merge"), "doc_id", "left_semi")
+    wanted = possible(texts, ids, "doc_id").join(ids.hint("merge"), "doc_id").select("doc_id", "text")
     return stored(texts.sparkSession, wanted.mapInArrow(
         lambda it: _shingle(it, size), "doc_id long, shingles array<long>"), "minhash-sets")
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from marketlake.llm import bpe, embedding_dedup, minhash, mixing, quality, sharding, shingles
 from marketlake.llm.catalog import tokenizer_path
 from marketlake.llm.chat import format_chats
-from marketlake.llm.common import possible
+from marketlake.llm.common import absent, possible
 from marketlake.llm.components import components
 from marketlake.llm.exact_dedup import drop_exact_copies, exact_groups
 from marketlake.llm.line_dedup import delete_repeated_runs
@@ -430,6 +430,54 @@ def test_near_groups(spark, monkeypatch, size):
     assert as_counter(out, "doc_id", "n_shingles", "component_id", "kept") == near_brute(docs, size, 80)
 
 
+def exchanged(plan):
+    """For each shuffle of a plan by a key: the lines of the plan below it."""
+    lines = [(re.search(r"\w", x).start(), x) for x in plan.splitlines() if re.search(r"\w", x)]
+    for at, (depth, line) in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            upto = next((i for i in range(at + 1, len(lines)) if lines[i][0] <= depth), len(lines))
+            yield "\n".join(x for _, x in lines[at + 1:upto])
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 4])
+def test_near_groups_of_copies(spark, monkeypatch, bits):
+    # With few bits the bitmaps are full, and rows without company pass them too.
+    for name, thinned in (("possible", possible), ("absent", absent)):
+        monkeypatch.setattr(minhash, name, lambda df, keys, key, thinned=thinned: thinned(df, keys, key, bits))
+    rng = random.Random(11)
+    bases = [rng.choices(WORDS, k=40) for _ in range(12)]
+    docs = [(rng.randrange(40), rng.choice([" ", "  "]).join(bases[rng.randrange(12)])) for _ in range(60)]
+    docs += [(100 + i, " ".join([*b, "w1"])) for i, b in enumerate(bases)]
+    docs += [(200, "a b c d e"), (200, "a b c d e"), (201, "f g h i j"), (None, "a b c d e"), (None, docs[0][1])]
+    out = minhash.near_groups(frame(spark, docs, DOC), size=4, percent=80)
+    assert as_counter(out, "doc_id", "n_shingles", "component_id", "kept") == near_brute(docs, 4, 80)
+
+
+def test_near_groups_moves_what_passes_the_bitmaps_only(spark, monkeypatch):
+    plans = {}
+
+    def noted(session, df, name):
+        # As on large tables: nothing is small enough to be broadcast unasked.
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(session, df, name)
+
+    stored, before = minhash.stored, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(minhash, "stored", noted)
+    text = " ".join(WORDS)
+    docs = [(1, text), (2, text), (3, text + " w1"), (4, "other words stand alone here")]
+    try:
+        out = minhash.near_groups(frame(spark, docs, DOC), size=4, percent=80)
+        assert as_counter(out, "doc_id", "n_shingles", "component_id", "kept") == near_brute(docs, 4, 80)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = [(name, below) for name, frames in plans.items() for plan in frames for below in exchanged(plan)]
+    assert {"minhash-hubs", "minhash-sets"} <= {name for name, _ in moved}
+    for name, below in moved:
+        if re.search(r"\b(text|bands|sketch)#", below):
+            assert "getbit(" in below, (name, below)
+
+
 def test_near_groups_keeps_one_of_each(spark):
     text = " ".join(WORDS)
     docs = frame(spark, [(3, text, "x"), (2, text + " w1", "y"), (9, "other words stand alone here", "z"), (None, text, "n")],
@@ -510,6 +558,17 @@ def test_possible_never_holds_back_a_partner(spark):
     assert possible(left, right.limit(0), "k").count() == 0
 
 
+def test_absent_and_possible_are_all_rows(spark):
+    left = frame(spark, [(i, i % 3) for i in [*range(-50, 2000), 7, 7, 2**62, -2**63]], "k long, v int")
+    right = frame(spark, [(i,) for i in [*range(-50, 2000, 7), 2**62, 10**9]], "k long")
+    for bits in (1 << 26, 1 << 10):
+        rest = absent(left, right, "k", bits)
+        assert rest.columns == left.columns
+        both = as_counter(possible(left, right, "k", bits), "k", "v") + as_counter(rest, "k", "v")
+        assert both == as_counter(left, "k", "v")
+    assert absent(left, right.limit(0), "k").count() == left.count()
+
+
 # --- op10: embeddings --------------------------------------------------------------
 
 def vectors_brute(rows, least):
